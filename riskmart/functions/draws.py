@@ -6,18 +6,15 @@ partitioning, task retries or the engine: any system with MD5 can repeat it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 DRAW_RANGE = 2**32
 
 
-def draw(key: Column, seed: int, purpose: str) -> Column:
-    """A whole number in ``[0, 2**32)``."""
-    digest = F.md5(F.concat_ws(":", key, F.lit(str(seed)), F.lit(purpose)))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+def draw(key: str, seed: int, purpose: str) -> str:
+    """SQL for a whole number in ``[0, 2**32)``; ``key`` is a column name."""
+    digest = f"md5(concat(`{key}`, ':{int(seed)}:{purpose}'))"
+    return f"CAST(conv(substr({digest}, 1, 8), 16, 10) AS bigint)"
 
 
-def fraction(key: Column, seed: int, purpose: str) -> Column:
-    """A number in ``[0, 1)``."""
-    return draw(key, seed, purpose) / F.lit(float(DRAW_RANGE))
+def fraction(key: str, seed: int, purpose: str) -> str:
+    """SQL for a number in ``[0, 1)``."""
+    return f"({draw(key, seed, purpose)} / {float(DRAW_RANGE)!r}D)"

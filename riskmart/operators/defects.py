@@ -6,7 +6,7 @@ the row key, so a rerun damages the same rows whatever the partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.draws import draw, fraction
@@ -21,76 +21,65 @@ EARLY_MATURITY_DAYS = (1, 30)
 FUTURE_VALUATION_DAYS = (30, 180)
 
 
-def chosen_defect(
-    key: Column, cleanliness: float | Column, seed: int, names: tuple[str, ...]
-) -> Column:
-    """The defect of a row, or null for a row that stays clean.
+def chosen_defect(key: str, cleanliness: float | str, seed: int, names: tuple[str, ...]) -> str:
+    """SQL for the defect of a row, null for a row that stays clean.
 
-    ``cleanliness`` may differ by row.
+    ``cleanliness`` is a share between 0 and 1, or an SQL expression for one that differs by row.
     """
-    if not isinstance(cleanliness, Column) and not 0.0 <= cleanliness <= 1.0:
-        raise ValueError("cleanliness must lie between 0 and 1")
-    pick = draw(key, seed, "kind") % len(names)
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), (pick + 1).cast("int"))
-    return F.when(fraction(key, seed, "dirty") > cleanliness, name)
+    if not isinstance(cleanliness, str):
+        if not 0.0 <= cleanliness <= 1.0:
+            raise ValueError("cleanliness must lie between 0 and 1")
+        cleanliness = f"{float(cleanliness)!r}D"
+    quoted = ", ".join(f"'{n}'" for n in names)
+    pick = f"CAST({draw(key, seed, 'kind')} % {len(names)} + 1 AS int)"
+    dirty = f"{fraction(key, seed, 'dirty')} > ({cleanliness})"
+    return f"IF({dirty}, element_at(array({quoted}), {pick}), NULL)"
 
 
-def _days(key: Column, seed: int, bounds: tuple[int, int]) -> Column:
+def _days(key: str, seed: int, bounds: tuple[int, int]) -> str:
     low, high = bounds
-    return (draw(key, seed, "days") % (high - low + 1) + low).cast("int")
+    return f"CAST({draw(key, seed, 'days')} % {high - low + 1} + {low} AS int)"
 
 
-def damage_exposures(exposure: DataFrame, cleanliness: float | Column, seed: int = 42) -> DataFrame:
+def damage_exposures(
+    exposure: DataFrame, cleanliness: float | str, seed: int = 42
+) -> DataFrame:
     """Negate the amount, move maturity before the as-of date, or set an impossible weight."""
-    key = F.col("exposure_id")
-    defect = F.col("_defect")
-    marked = exposure.withColumn("_defect", chosen_defect(key, cleanliness, seed, EXPOSURE_DEFECTS))
-    return marked.withColumns(
-        {
-            "amount_eur": F.when(defect == "negative_amount", -F.col("amount_eur")).otherwise(
-                F.col("amount_eur")
-            ),
-            "maturity_date": F.when(
-                defect == "early_maturity",
-                F.date_sub("as_of_date", _days(key, seed, EARLY_MATURITY_DAYS)),
-            ).otherwise(F.col("maturity_date")),
-            "risk_weight": F.when(defect == "bad_risk_weight", BAD_RISK_WEIGHT).otherwise(
-                F.col("risk_weight")
-            ),
-        }
-    ).drop("_defect")
+    key = "exposure_id"
+    early = f"date_sub(as_of_date, {_days(key, seed, EARLY_MATURITY_DAYS)})"
+    changed = {
+        "amount_eur": "IF(_defect <=> 'negative_amount', -amount_eur, amount_eur)",
+        "maturity_date": f"IF(_defect <=> 'early_maturity', {early}, maturity_date)",
+        "risk_weight": f"IF(_defect <=> 'bad_risk_weight', {BAD_RISK_WEIGHT!r}D, risk_weight)",
+    }
+    defect = chosen_defect(key, cleanliness, seed, EXPOSURE_DEFECTS)
+    return exposure.selectExpr("*", f"{defect} AS _defect").selectExpr(
+        *[f"{changed[c]} AS {c}" if c in changed else f"`{c}`" for c in exposure.columns]
+    )
 
 
 def damage_collateral(
-    collateral: DataFrame, exposure: DataFrame, cleanliness: float | Column, seed: int = 42
+    collateral: DataFrame, exposure: DataFrame, cleanliness: float | str, seed: int = 42
 ) -> DataFrame:
     """Point to a missing exposure, inflate the value, or value after the as-of date.
 
     The last two depend on the pledged exposure; rows without one keep their values.
     """
-    key = F.col("collateral_id")
-    defect = F.col("_defect")
-    marked = collateral.withColumn(
-        "_defect", chosen_defect(key, cleanliness, seed, COLLATERAL_DEFECTS)
+    key = "collateral_id"
+    later = f"date_add(_as_of, {_days(key, seed, FUTURE_VALUATION_DAYS)})"
+    inflated = f"abs(_amount) * {OVER_VALUE_FACTOR!r}D"
+    changed = {
+        "exposure_id": f"IF(_defect <=> 'orphan', '{ORPHAN_EXPOSURE_ID}', exposure_id)",
+        "value_eur": f"coalesce(IF(_defect = 'over_value', {inflated}, NULL), value_eur)",
+        "valuation_date": (
+            f"coalesce(IF(_defect = 'future_valuation', {later}, NULL), valuation_date)"
+        ),
+    }
+    defect = chosen_defect(key, cleanliness, seed, COLLATERAL_DEFECTS)
+    facts = exposure.selectExpr(
+        "exposure_id AS _exposure_id", "amount_eur AS _amount", "as_of_date AS _as_of"
     )
-    facts = exposure.select(
-        F.col("exposure_id").alias("_exposure_id"),
-        F.col("amount_eur").alias("_amount"),
-        F.col("as_of_date").alias("_as_of"),
+    marked = collateral.selectExpr("*", f"{defect} AS _defect")
+    return marked.join(facts, F.expr("exposure_id = _exposure_id"), "left").selectExpr(
+        *[f"{changed[c]} AS {c}" if c in changed else f"`{c}`" for c in collateral.columns]
     )
-    known = marked.join(facts, F.col("exposure_id") == F.col("_exposure_id"), "left")
-    inflated = F.abs("_amount") * OVER_VALUE_FACTOR
-    later = F.date_add("_as_of", _days(key, seed, FUTURE_VALUATION_DAYS))
-    return known.withColumns(
-        {
-            "exposure_id": F.when(defect == "orphan", ORPHAN_EXPOSURE_ID).otherwise(
-                F.col("exposure_id")
-            ),
-            "value_eur": F.coalesce(
-                F.when(defect == "over_value", inflated), F.col("value_eur")
-            ),
-            "valuation_date": F.coalesce(
-                F.when(defect == "future_valuation", later), F.col("valuation_date")
-            ),
-        }
-    ).select(*collateral.columns)

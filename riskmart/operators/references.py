@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.operators.rules import literal
 from riskmart.operators.scoring import ratio
 
 
@@ -38,19 +39,16 @@ def reference_score(
 ) -> DataFrame:
     """Share of child rows that reference an existing parent, in scorecard form."""
     per_key = child.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    known = parent.select(F.col(parent_key or key).alias("_key")).distinct()
-    known = known.withColumn("_known", F.lit(True))
-    counts = per_key.join(known, "_key", "left").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("sample_size"),
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias(
-            "failed_count"
-        ),
+    known = parent.selectExpr(f"`{parent_key or key}` AS _key").distinct()
+    counts = per_key.join(known.selectExpr("_key", "true AS _known"), "_key", "left").agg(
+        F.expr("coalesce(sum(_n), 0L) AS sample_size"),
+        F.expr("coalesce(sum(IF(_known, 0L, _n)), 0L) AS failed_count"),
     )
-    return counts.select(
-        F.lit(source).alias("source"),
-        F.lit("integrity").alias("dimension"),
-        F.lit(rule).alias("rule"),
-        ratio(F.col("failed_count"), F.col("sample_size")).alias("score"),
+    return counts.selectExpr(
+        f"{literal(source)} AS source",
+        "'integrity' AS dimension",
+        f"{literal(rule)} AS rule",
+        f"{ratio('failed_count', 'sample_size')} AS score",
         "sample_size",
         "failed_count",
     )

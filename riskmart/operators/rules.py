@@ -1,4 +1,4 @@
-"""Quality rules. A rule is declarative: it says which rows fail, as a Column.
+"""Quality rules. A rule is declarative: it says which rows fail, as an SQL condition.
 
 Every rule names one of the four dimensions. Row rules decide each row alone;
 ``Unique`` and an unanchored ``Timely`` need the whole table and are resolved by
@@ -7,32 +7,46 @@ Every rule names one of the four dimensions. Row rules decide each row alone;
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
-from operator import or_
 from typing import ClassVar
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # The dimensions a score can belong to.
 DIMENSIONS = ("completeness", "accuracy", "timeliness", "integrity")
 
 
-def column_or_null(df: DataFrame, name: str) -> Column:
-    """The named column, or null when the table does not have it."""
-    return F.col(name) if name in df.columns else F.lit(None)
+def literal(value: object) -> str:
+    """A Python value as SQL text."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, (int, float)):
+        if math.isfinite(value):
+            return f"{float(value)!r}D"
+        return f"double('{value}')"
+    if isinstance(value, date):
+        return f"date'{value.isoformat()[:10]}'"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
 
 
-def _is_type(df: DataFrame, name: str, kind: type) -> bool:
-    return name in df.columns and isinstance(df.schema[name].dataType, kind)
+def column(schema: T.StructType, name: str) -> str:
+    """The named column, or NULL when the table does not have it."""
+    return f"`{name}`" if name in schema.fieldNames() else "NULL"
+
+
+def _is_type(schema: T.StructType, name: str, kind: type) -> bool:
+    return name in schema.fieldNames() and isinstance(schema[name].dataType, kind)
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Base of all rules."""
+    """Base of all rules; add one by saying which rows fail."""
 
     dimension: ClassVar[str] = "accuracy"
 
@@ -40,12 +54,12 @@ class Rule:
     def label(self) -> str:
         return type(self).__name__.lower()
 
-    def failed(self, df: DataFrame) -> Column:
-        """True where a row fails; never null."""
+    def failed(self, schema: T.StructType) -> str:
+        """SQL condition, true where a row fails and never null."""
         raise NotImplementedError(f"{type(self).__name__} is not a row rule")
 
-    def applies(self, df: DataFrame) -> Column | None:
-        """True for rows in the sample; ``None`` when every row is."""
+    def applies(self, schema: T.StructType) -> str | None:
+        """SQL condition, true for rows in the sample; ``None`` when every row is."""
         return None
 
 
@@ -64,12 +78,11 @@ class Complete(Rule):
     def label(self) -> str:
         return "complete:" + ",".join(self.fields)
 
-    def _missing(self, df: DataFrame, name: str) -> Column:
-        c = column_or_null(df, name)
-        return c.isNull() | (c == "") if _is_type(df, name, T.StringType) else c.isNull()
-
-    def failed(self, df: DataFrame) -> Column:
-        return reduce(or_, [F.coalesce(self._missing(df, f), F.lit(True)) for f in self.fields])
+    def failed(self, schema: T.StructType) -> str:
+        return " OR ".join(
+            f"coalesce({c}, '') = ''" if _is_type(schema, f, T.StringType) else f"{c} IS NULL"
+            for f, c in ((f, column(schema, f)) for f in self.fields)
+        )
 
 
 @dataclass(frozen=True)
@@ -88,10 +101,11 @@ class InRange(Rule):
     def label(self) -> str:
         return f"in_range:{self.field}"
 
-    def failed(self, df: DataFrame) -> Column:
-        if not _is_type(df, self.field, T.NumericType):
-            return F.lit(True)
-        return ~F.coalesce(F.col(self.field).between(self.low, self.high), F.lit(False))
+    def failed(self, schema: T.StructType) -> str:
+        if not _is_type(schema, self.field, T.NumericType):
+            return "true"
+        bounds = f"{literal(self.low)} AND {literal(self.high)}"
+        return f"NOT coalesce(`{self.field}` BETWEEN {bounds}, false)"
 
 
 @dataclass(frozen=True)
@@ -115,14 +129,14 @@ class Timely(Rule):
     def label(self) -> str:
         return f"timely:{self.field}"
 
-    def applies(self, df: DataFrame) -> Column:
-        return column_or_null(df, self.field).isNotNull()
+    def applies(self, schema: T.StructType) -> str:
+        return f"{column(schema, self.field)} IS NOT NULL"
 
-    def failed(self, df: DataFrame) -> Column:
+    def failed(self, schema: T.StructType) -> str:
         if self.expected is None:
-            return super().failed(df)
-        lag = F.abs(F.datediff(F.lit(self.expected), column_or_null(df, self.field).cast("date")))
-        return F.coalesce(lag > self.max_lag_days, F.lit(False))
+            return super().failed(schema)
+        lag = f"datediff({literal(self.expected)}, CAST({column(schema, self.field)} AS date))"
+        return f"coalesce(abs({lag}) > {self.max_lag_days}, false)"
 
 
 @dataclass(frozen=True)
@@ -151,8 +165,8 @@ class Positive(Rule):
     def label(self) -> str:
         return f"positive:{self.field}"
 
-    def failed(self, df: DataFrame) -> Column:
-        return ~F.coalesce(column_or_null(df, self.field) > 0, F.lit(False))
+    def failed(self, schema: T.StructType) -> str:
+        return f"NOT coalesce({column(schema, self.field)} > 0, false)"
 
 
 @dataclass(frozen=True)
@@ -162,12 +176,17 @@ class OneOf(Rule):
     field: str
     domain: tuple
 
+    def __post_init__(self) -> None:
+        if not self.domain:
+            raise ValueError("a domain needs at least one value")
+
     @property
     def label(self) -> str:
         return f"one_of:{self.field}"
 
-    def failed(self, df: DataFrame) -> Column:
-        return ~F.coalesce(column_or_null(df, self.field).isin(*self.domain), F.lit(False))
+    def failed(self, schema: T.StructType) -> str:
+        values = ", ".join(literal(v) for v in self.domain)
+        return f"NOT coalesce({column(schema, self.field)} IN ({values}), false)"
 
 
 @dataclass(frozen=True)
@@ -182,9 +201,10 @@ class Before(Rule):
     def label(self) -> str:
         return f"before:{self.earlier},{self.later}"
 
-    def failed(self, df: DataFrame) -> Column:
-        a, b = column_or_null(df, self.earlier), column_or_null(df, self.later)
-        return ~F.coalesce(a <= b if self.or_equal else a < b, F.lit(False))
+    def failed(self, schema: T.StructType) -> str:
+        op = "<=" if self.or_equal else "<"
+        ordered = f"{column(schema, self.earlier)} {op} {column(schema, self.later)}"
+        return f"NOT coalesce({ordered}, false)"
 
 
 @dataclass(frozen=True)
@@ -199,8 +219,9 @@ class Prefixed(Rule):
     def label(self) -> str:
         return f"prefixed:{self.field}"
 
-    def failed(self, df: DataFrame) -> Column:
-        return ~F.coalesce(column_or_null(df, self.field).startswith(self.prefix), F.lit(False))
+    def failed(self, schema: T.StructType) -> str:
+        starts = f"startswith({column(schema, self.field)}, {literal(self.prefix)})"
+        return f"NOT coalesce({starts}, false)"
 
 
 @dataclass(frozen=True)
@@ -214,8 +235,8 @@ class Present(Rule):
     def label(self) -> str:
         return f"present:{self.field}"
 
-    def failed(self, df: DataFrame) -> Column:
-        return column_or_null(df, self.field).isNull()
+    def failed(self, schema: T.StructType) -> str:
+        return f"{column(schema, self.field)} IS NULL"
 
 
 @dataclass(frozen=True)
@@ -230,13 +251,13 @@ class AtMostTimes(Rule):
     def label(self) -> str:
         return f"at_most_times:{self.field},{self.other}"
 
-    def failed(self, df: DataFrame) -> Column:
-        limit = F.abs(column_or_null(df, self.other)) * F.lit(float(self.factor))
-        return F.coalesce(column_or_null(df, self.field) > limit, F.lit(False))
+    def failed(self, schema: T.StructType) -> str:
+        limit = f"abs({column(schema, self.other)}) * {literal(self.factor)}"
+        return f"coalesce({column(schema, self.field)} > {limit}, false)"
 
 
 def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
     """The rows a row rule rejects; a plain filter, so it reaches the scan."""
-    applies = rule.applies(df)
-    failed = rule.failed(df)
-    return df.filter(failed if applies is None else applies & failed)
+    applies = rule.applies(df.schema)
+    failed = rule.failed(df.schema)
+    return df.filter(failed if applies is None else f"({applies}) AND ({failed})")

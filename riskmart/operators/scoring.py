@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart.operators import rules as R
 
@@ -39,13 +40,9 @@ class Score:
             raise ValueError("score must lie between 0 and 1")
 
 
-def ratio(failed: Column, sample: Column) -> Column:
-    """``1 - failed/sample``; an empty sample scores 1."""
-    return F.when(sample == 0, F.lit(1.0)).otherwise(1.0 - failed / sample)
-
-
-def _zero(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0)).cast("bigint")
+def ratio(failed: str, sample: str) -> str:
+    """SQL for ``1 - failed/sample``; an empty sample scores 1."""
+    return f"CASE WHEN {sample} = 0 THEN 1.0D ELSE 1.0D - {failed} / {sample} END"
 
 
 def _grouping_value(names: Sequence[str], kept: Sequence[str]) -> int:
@@ -63,100 +60,80 @@ def score_table(
     rules = list(rules)
     if not rules:
         raise ValueError("at least one rule is needed")
+    schema = df.schema
     by = list(by)
 
-    narrow = [F.col(c) for c in by]
-    measures: list[str] = []
-    branches: list[list[str]] = []
-    branch_of: dict[int, list[str]] = {}
-
-    def measure(name: str, c: Column) -> None:
-        narrow.append(c.alias(name))
-        measures.append(name)
-
-    date_branches: dict[str, list[str]] = {}
+    narrow = [f"`{c}`" for c in by]
+    flags: list[str] = []
+    keys: dict[int, list[str]] = {}
+    days: dict[int, str] = {}
     for i, rule in enumerate(rules):
         if isinstance(rule, R.Unique):
-            names = [f"_key{i}_{j}" for j in range(len(rule.key))]
-            narrow += [
-                R.column_or_null(df, k).alias(n) for k, n in zip(rule.key, names, strict=True)
-            ]
-            branch_of[i] = names
-            branches.append(names)
+            keys[i] = [f"_key{i}_{j}" for j in range(len(rule.key))]
+            narrow += [f"{R.column(schema, k)} AS {n}" for k, n in zip(rule.key, keys[i], strict=True)]
         elif isinstance(rule, R.Timely) and rule.expected is None:
-            if rule.field not in date_branches:
-                name = f"_date{i}"
-                narrow.append(R.column_or_null(df, rule.field).cast("date").alias(name))
-                date_branches[rule.field] = [name]
-                branches.append([name])
-            branch_of[i] = date_branches[rule.field]
+            days[i] = f"_day{i}"
+            narrow.append(f"CAST({R.column(schema, rule.field)} AS date) AS {days[i]}")
         else:
-            applies = rule.applies(df)
-            failed = rule.failed(df)
+            failed, applies = rule.failed(schema), rule.applies(schema)
             if applies is not None:
-                measure(f"_in{i}", applies)
-                failed = applies & failed
-            measure(f"_bad{i}", failed)
+                failed = f"({applies}) AND ({failed})"
+                narrow.append(f"{applies} AS _in{i}")
+                flags.append(f"_in{i}")
+            narrow.append(f"{failed} AS _bad{i}")
+            flags.append(f"_bad{i}")
+
+    totals = _totals(df.selectExpr(*narrow), by, list(keys.values()), list(days.values()), flags)
+    return _unpivot(totals, source, rules, by, keys, days)
 
-    counted = [F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(m)).alias(m) for m in measures]]
-    totals = _totals(df.select(*narrow), by, branches, list(date_branches.values()), counted, measures)
-    return _unpivot(totals, source, rules, by, branch_of)
+
+def _exprs(texts: Sequence[str]) -> list[Column]:
+    return [F.expr(t) for t in texts]
 
 
 def _totals(
-    base: DataFrame,
-    by: list[str],
-    branches: list[list[str]],
-    dates: list[list[str]],
-    counted: list[Column],
-    measures: list[str],
+    base: DataFrame, by: list[str], keys: list[list[str]], days: list[str], flags: list[str]
 ) -> DataFrame:
-    """One row per ``by`` group: row count, failures per rule, duplicates and date histograms."""
-    if not branches:
+    """One row per ``by`` group: row count, failures per rule, duplicates and day histograms."""
+    counted = _exprs(["count(1) AS _n", *[f"count_if({f}) AS {f}" for f in flags]])
+    sets = [*[[d] for d in days], *keys]
+    if not sets:
         return base.groupBy(*by).agg(*counted)
 
-    grouped = by + [c for names in branches for c in names]
-    date_names = [names[0] for names in dates]
-    ids = {tuple(names): _grouping_value(grouped, by + names) for names in branches}
-    first = (
-        base.groupingSets([[F.col(c) for c in by + names] for names in branches], *grouped)
-        .agg(F.grouping_id().alias("_set"), *counted)
+    grouped = by + [c for names in sets for c in names]
+    ids = [_grouping_value(grouped, by + names) for names in sets]
+    first = base.groupingSets([_exprs(by + names) for names in sets], *grouped).agg(
+        F.expr("grouping_id() AS _set"), *counted
     )
 
     # Key groups collapse here, day groups pass through: what follows is a few thousand rows.
-    by_day = first.groupBy(*by, "_set", *date_names).agg(
-        F.sum("_n").alias("_n"),
-        F.sum(F.col("_n") - 1).alias("_extra"),
-        *[F.sum(m).alias(m) for m in measures],
+    by_day = first.groupBy(*by, "_set", *days).agg(
+        *_exprs(
+            [
+                "sum(_n) AS _n",
+                "sum(_n - 1) AS _extra",
+                *[f"sum({f}) AS {f}" for f in flags],
+            ]
+        )
     )
 
-    def within(names: list[str], value: Column) -> Column:
-        return F.when(F.col("_set") == ids[tuple(names)], value)
-
     # Any one set covers every row; the first supplies the plain counts.
-    whole = dates[0] if dates else branches[0]
-    out = [F.sum(within(whole, F.col(m))).alias(m) for m in ["_n", *measures]]
-    for names in branches:
-        if names in dates:
-            day = F.col(names[0])
+    out = [f"sum(IF(_set = {ids[0]}, {m}, NULL)) AS {m}" for m in ["_n", *flags]]
+    for names, i in zip(sets, ids, strict=True):
+        first_name = names[0]
+        if first_name in days:
             # At most one entry per calendar day, so the array is bounded by the date type.
-            out.append(
-                F.collect_list(
-                    within(names, F.when(day.isNotNull(), F.struct(day.alias("day"), F.col("_n"))))
-                ).alias("_hist" + names[0])
-            )
-            out.append(F.max(within(names, day)).alias("_max" + names[0]))
+            dated = f"_set = {i} AND {first_name} IS NOT NULL"
+            entry = f"named_struct('day', {first_name}, 'n', _n)"
+            out.append(f"collect_list(IF({dated}, {entry}, NULL)) AS _hist{first_name}")
+            out.append(f"max(IF(_set = {i}, {first_name}, NULL)) AS _max{first_name}")
         else:
-            out.append(F.sum(within(names, F.col("_extra"))).alias("_dup" + names[0]))
-    return by_day.groupBy(*by).agg(*out)
-
+            out.append(f"sum(IF(_set = {i}, _extra, NULL)) AS _dup{first_name}")
+    return by_day.groupBy(*by).agg(*_exprs(out))
 
-def _late_days(hist: Column, expected: Column, max_lag_days: int) -> Column:
-    return F.filter(hist, lambda x: F.abs(F.datediff(expected, x["day"])) > max_lag_days)
 
-
-def _rows_in(hist: Column) -> Column:
-    return F.aggregate(hist, F.lit(0).cast("bigint"), lambda total, x: total + x["_n"])
+def _rows_in(hist: str) -> str:
+    return f"aggregate({hist}, 0L, (total, x) -> total + x.n)"
 
 
 def _unpivot(
@@ -164,41 +141,36 @@ def _unpivot(
     source: str,
     rules: list[R.Rule],
     by: list[str],
-    branch_of: dict[int, list[str]],
+    keys: dict[int, list[str]],
+    days: dict[int, str],
 ) -> DataFrame:
     rows = []
     for i, rule in enumerate(rules):
-        keep = F.lit(True)
-        sample = F.col("_n")
-        if isinstance(rule, R.Unique):
-            failed = F.col("_dup" + branch_of[i][0])
-        elif i in branch_of:
-            hist, latest = (F.col(p + branch_of[i][0]) for p in ("_hist", "_max"))
-            sample = _rows_in(hist)
-            failed = _rows_in(_late_days(hist, latest, rule.max_lag_days))
-            keep = sample > 0
-        else:
-            failed = F.col(f"_bad{i}")
-            if f"_in{i}" in totals.columns:
-                sample = F.col(f"_in{i}")
+        keep = "true"
+        sample, failed = "_n", f"_bad{i}"
+        if i in keys:
+            failed = "_dup" + keys[i][0]
+        elif i in days:
+            hist, latest = "_hist" + days[i], "_max" + days[i]
+            late = f"filter({hist}, x -> abs(datediff({latest}, x.day)) > {rule.max_lag_days})"
+            sample, failed = _rows_in(hist), _rows_in(late)
+            keep = f"size({hist}) > 0"
+        elif rule.applies(T.StructType()) is not None:
+            sample = f"_in{i}"
         rows.append(
-            F.struct(
-                F.lit(rule.dimension).alias("dimension"),
-                F.lit(rule.label).alias("rule"),
-                _zero(sample).alias("sample_size"),
-                _zero(failed).alias("failed_count"),
-                F.coalesce(keep, F.lit(False)).alias("keep"),
-            )
+            f"named_struct('dimension', {R.literal(rule.dimension)}, 'rule', {R.literal(rule.label)}, "
+            f"'sample_size', coalesce({sample}, 0L), 'failed_count', coalesce({failed}, 0L), "
+            f"'keep', {keep})"
         )
     return (
-        totals.select(*by, F.inline(F.array(*rows)))
+        totals.selectExpr(*by, f"inline(array({', '.join(rows)}))")
         .filter("keep")
-        .select(
+        .selectExpr(
             *by,
-            F.lit(source).alias("source"),
+            f"{R.literal(source)} AS source",
             "dimension",
             "rule",
-            ratio(F.col("failed_count"), F.col("sample_size")).alias("score"),
+            f"{ratio('failed_count', 'sample_size')} AS score",
             "sample_size",
             "failed_count",
         )

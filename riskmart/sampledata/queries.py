@@ -260,7 +260,7 @@ def _year_end(year: Column) -> Column:
 def _history(spark, sf_dir) -> DataFrame:
     """One snapshot per year; from a certain year on the deliveries are damaged."""
     year = F.year(model.LOADED_AT)
-    cleanliness = F.when(year > CLEAN_UNTIL_YEAR, CLEANLINESS).otherwise(1.0)
+    cleanliness = f"IF(year({model.LOADED_AT}) > {CLEAN_UNTIL_YEAR}, {CLEANLINESS!r}D, 1.0D)"
     number = F.substring("lei", 5, 16).cast("bigint")
     return marts.scorecard_history(
         {

@@ -6,7 +6,7 @@ the same rows as they would land from files: text columns plus provenance.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart import model
@@ -27,75 +27,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _id(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+def _id(prefix: str, number: str, width: int) -> str:
+    return f"concat('{prefix}', lpad(CAST({number} AS string), {width}, '0'))"
 
 
-def _coded(column: str, mapping: dict[str, str]) -> Column:
-    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(column)), F.col(column))
-
-
-def lei(number: Column) -> Column:
-    return _id(model.LEI_PREFIX, number, 16)
-
-
-def exposure_id(number: Column) -> Column:
-    return _id(model.EXPOSURE_PREFIX, number, 12)
+def _coded(column: str, mapping: dict[str, str]) -> str:
+    cases = " ".join(f"WHEN '{code}' THEN '{value}'" for code, value in mapping.items())
+    return f"CASE {column} {cases} ELSE {column} END"
 
 
 def counterparty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
     nation = table(spark, sf_dir, "nation")
     return (
         table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            lei(key).alias("lei"),
-            F.col("c_name").alias("legal_name"),
-            F.col("n_name").alias("country_iso2"),
-            F.col("c_mktsegment").alias("sector"),
-            F.when(key % 10 < 3, lei(F.floor(key / 10))).alias("parent_lei"),
-            F.date_add(F.lit("2010-01-01").cast("date"), (key * 37 % 5110).cast("int")).alias(
-                "inception_date"
-            ),
-            F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias(model.LOADED_AT),
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            f"{_id(model.LEI_PREFIX, 'c_custkey', 16)} AS lei",
+            "c_name AS legal_name",
+            "n_name AS country_iso2",
+            "c_mktsegment AS sector",
+            f"IF(c_custkey % 10 < 3, {_id(model.LEI_PREFIX, 'c_custkey div 10', 16)}, NULL) AS parent_lei",
+            "date_add(date'2010-01-01', CAST(c_custkey * 37 % 5110 AS int)) AS inception_date",
+            f"timestamp_ntz'2026-01-01 00:00:00' AS {model.LOADED_AT}",
         )
     )
 
 
 def exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    as_of = F.last_day("o_orderdate")
-    weights = F.array(*[F.lit(w) for w in model.RISK_WEIGHTS])
-    return table(spark, sf_dir, "orders").select(
-        exposure_id(key).alias("exposure_id"),
-        lei(F.col("o_custkey")).alias("lei"),
-        _coded("o_orderpriority", TYPE_OF_PRIORITY).alias("exposure_type"),
-        F.col("o_totalprice").alias("amount_eur"),
-        as_of.alias("as_of_date"),
-        F.date_add(as_of, (key * 7 % 3620 + 30).cast("int")).alias("maturity_date"),
-        F.element_at(weights, (key % len(model.RISK_WEIGHTS) + 1).cast("int")).alias("risk_weight"),
-        _coded("o_orderstatus", STAGE_OF_STATUS).alias("ifrs9_stage"),
-        (key % 12 + 1).cast("int").alias("internal_rating"),
-        F.col("o_orderdate").alias(model.LOADED_AT),
+    weights = ", ".join(f"{w!r}D" for w in model.RISK_WEIGHTS)
+    nth = f"CAST(o_orderkey % {len(model.RISK_WEIGHTS)} + 1 AS int)"
+    as_of = "last_day(o_orderdate)"
+    return table(spark, sf_dir, "orders").selectExpr(
+        f"{_id(model.EXPOSURE_PREFIX, 'o_orderkey', 12)} AS exposure_id",
+        f"{_id(model.LEI_PREFIX, 'o_custkey', 16)} AS lei",
+        f"{_coded('o_orderpriority', TYPE_OF_PRIORITY)} AS exposure_type",
+        "o_totalprice AS amount_eur",
+        f"{as_of} AS as_of_date",
+        f"date_add({as_of}, CAST(o_orderkey * 7 % 3620 + 30 AS int)) AS maturity_date",
+        f"element_at(array({weights}), {nth}) AS risk_weight",
+        f"{_coded('o_orderstatus', STAGE_OF_STATUS)} AS ifrs9_stage",
+        "CAST(o_orderkey % 12 + 1 AS int) AS internal_rating",
+        f"o_orderdate AS {model.LOADED_AT}",
     )
 
 
 def collateral(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Not unique on its key: order lines repeat line numbers, which is what dedup is for."""
-    valued = F.to_date("l_shipdate")
-    return table(spark, sf_dir, "lineitem").select(
-        _id(model.COLLATERAL_PREFIX, F.col("l_orderkey") * 10 + F.col("l_linenumber"), 12).alias(
-            "collateral_id"
-        ),
-        exposure_id(F.col("l_orderkey")).alias("exposure_id"),
-        _coded("l_returnflag", TYPE_OF_RETURNFLAG).alias("collateral_type"),
-        F.col("l_extendedprice").alias("value_eur"),
-        F.col("l_discount").alias("haircut_pct"),
-        valued.alias("valuation_date"),
-        F.date_sub(valued, (F.col("l_partkey") % 1735 + 90).cast("int")).alias("pledge_date"),
-        F.col("l_shipdate").alias(model.LOADED_AT),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{_id(model.COLLATERAL_PREFIX, '(l_orderkey * 10 + l_linenumber)', 12)} AS collateral_id",
+        f"{_id(model.EXPOSURE_PREFIX, 'l_orderkey', 12)} AS exposure_id",
+        f"{_coded('l_returnflag', TYPE_OF_RETURNFLAG)} AS collateral_type",
+        "l_extendedprice AS value_eur",
+        "l_discount AS haircut_pct",
+        "CAST(l_shipdate AS date) AS valuation_date",
+        "date_sub(CAST(l_shipdate AS date), CAST(l_partkey % 1735 + 90 AS int)) AS pledge_date",
+        f"l_shipdate AS {model.LOADED_AT}",
     )
 
 
@@ -104,8 +90,8 @@ VIEWS = {"counterparty": counterparty, "exposure": exposure, "collateral": colla
 
 def as_text(df: DataFrame, table_name: str) -> DataFrame:
     """Typed rows as a file would hold them, with provenance columns."""
-    return df.select(
-        *[F.col(c).cast("string").alias(c) for c in model.COLUMNS[table_name]],
-        F.lit(f"{table_name}.csv").alias(model.SOURCE_FILE),
-        F.col(model.LOADED_AT).alias(model.INGEST_TS),
+    return df.selectExpr(
+        *[f"CAST({c} AS string) AS {c}" for c in model.COLUMNS[table_name]],
+        f"'{table_name}.csv' AS {model.SOURCE_FILE}",
+        f"{model.LOADED_AT} AS {model.INGEST_TS}",
     )
