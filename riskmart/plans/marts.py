@@ -13,6 +13,7 @@ from riskmart import model
 from riskmart.operators.rollups import rwa_rollup
 from riskmart.operators.rules import Rule
 from riskmart.operators.scoring import score_table
+from riskmart.session import together
 from riskmart.sources.tables import read_table, table_exists, write_table
 
 SCORECARD_COLUMNS = model.SCORECARD_SCHEMA.fieldNames()
@@ -49,19 +50,19 @@ def build_gold(
     spark: SparkSession, silver_root: str, gold_root: str, snapshot_ts: datetime | None = None
 ) -> dict[str, int]:
     """Replace the rollup, append one scorecard snapshot; rows written, per table."""
-    counts: dict[str, int] = {}
     present = {
         s: read_table(spark, silver_root, s)
         for s in model.SCORECARD_RULES
         if table_exists(spark, silver_root, s)
     }
+    stamp = snapshot_ts or datetime.now(tz=UTC)
+    jobs = {}
     if "exposure" in present:
-        rollup = rwa_rollup(present["exposure"])
-        counts[model.RWA_TABLE] = write_table(rollup, gold_root, model.RWA_TABLE, "overwrite")
-    counts[model.SCORECARD_TABLE] = 0
+        jobs[model.RWA_TABLE] = lambda: write_table(
+            rwa_rollup(present["exposure"]), gold_root, model.RWA_TABLE, "overwrite"
+        )
     if present:
-        card = scorecard(present, snapshot_ts or datetime.now(tz=UTC))
-        counts[model.SCORECARD_TABLE] = write_table(
-            card, gold_root, model.SCORECARD_TABLE, "append"
+        jobs[model.SCORECARD_TABLE] = lambda: write_table(
+            scorecard(present, stamp), gold_root, model.SCORECARD_TABLE, "append"
         )
-    return counts
+    return {model.SCORECARD_TABLE: 0} | together(jobs)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from riskmart.operators import rules as R
 from riskmart.plans import conform, marts, reports
 from riskmart.plans.refresh import refresh
 from riskmart.sampledata import views
-from riskmart.session import scratch_dir
+from riskmart.session import scratch_dir, together
 from riskmart.sources import files, landing, tables
 from riskmart.streaming.landing import land_stream
 
@@ -618,10 +619,11 @@ def defect_recovery(spark, sf_dir):
 
 
 def _write_sources(spark, sf_dir, folder) -> None:
-    for name, view in views.VIEWS.items():
-        columns = list(model.COLUMNS[name])
-        rows = views.as_text(view(spark, sf_dir), name)
-        files.write_csv(rows, f"{folder}/{name}", columns)
+    def write(name: str) -> None:
+        rows = views.as_text(views.VIEWS[name](spark, sf_dir), name)
+        files.write_csv(rows, f"{folder}/{name}", list(model.COLUMNS[name]))
+
+    together({name: partial(write, name) for name in views.VIEWS})
 
 
 @query
@@ -741,15 +743,25 @@ def catalog_tables(spark, sf_dir):
 
 
 def _layers(spark, sf_dir) -> dict[str, dict[str, DataFrame]]:
+    """The layers as tables: reports count and read what the jobs have written."""
+    base = scratch_dir(spark, "layers")
     sources = _sources(spark, sf_dir)
-    silver = {
-        s: latest.keep_latest(df, model.KEYS[s], model.LOADED_AT) for s, df in sources.items()
-    }
-    gold = {
-        model.RWA_TABLE: _rwa(spark, sf_dir),
-        model.SCORECARD_TABLE: marts.scorecard(sources, _stamp()),
+    built = {
+        ("silver", s): latest.keep_latest(df, model.KEYS[s], model.LOADED_AT)
+        for s, df in sources.items()
     }
-    return {"bronze": sources, "silver": silver, "gold": gold}
+    built["gold", model.RWA_TABLE] = _rwa(spark, sf_dir)
+    built["gold", model.SCORECARD_TABLE] = marts.scorecard(sources, _stamp())
+    together(
+        {
+            f"{layer}/{name}": partial(tables.write_table, df, base, f"{layer}/{name}", "overwrite")
+            for (layer, name), df in built.items()
+        }
+    )
+    layers: dict[str, dict[str, DataFrame]] = {"bronze": sources, "silver": {}, "gold": {}}
+    for layer, name in built:
+        layers[layer][name] = tables.read_table(spark, base, f"{layer}/{name}")
+    return layers
 
 
 @query
@@ -764,9 +776,10 @@ def layer_totals(spark, sf_dir):
 
 @query
 def report_document(spark, sf_dir):
+    layers = _layers(spark, sf_dir)
     document = reports.report_document(
-        reports.table_counts(_layers(spark, sf_dir)),
+        reports.table_counts(layers),
         _written_history(spark, sf_dir),
-        _rwa(spark, sf_dir),
+        layers["gold"][model.RWA_TABLE],
     )
     return reports.flatten_document(document)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Bytes one shuffle task should handle; AQE merges smaller ones and splits skewed ones.
@@ -64,3 +69,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="riskmart-")
         spark.conf.set(CHECKPOINT_CONF, base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def together(jobs: Mapping[str, Callable[[], Result]], at_once: int = 8) -> dict[str, Result]:
+    """Run independent writes side by side, so the tail of one job does not idle the cluster.
+
+    All jobs are awaited; the first error, if any, is raised then.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(jobs)))) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: f.result() for name, f in futures.items()}

@@ -57,10 +57,11 @@ def _identifier(name: str) -> str:
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> bool:
     """Create the database if it is missing; True if this call created it."""
+    quoted = _identifier(name)
     if spark.catalog.databaseExists(name):
         return False
     where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_identifier(name)}{where}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted}{where}")
     return True
 
 

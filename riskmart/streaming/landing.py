@@ -46,7 +46,7 @@ def start_landing(
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         stamped = batch.withColumn(INGEST_TS, F.current_timestamp())
-        write_batch(stamped, None, root, table, batch_id, INGEST_TS)
+        write_batch(stamped, None, root, table, batch_id)
 
     return (
         rows.writeStream.foreachBatch(land_batch)
