@@ -476,6 +476,19 @@ FROM orders""",
     "rule_over_value": _with(
         f"SELECT collateral_id, exposure_id, value_eur, parent_amount_eur FROM linked WHERE {OVER}", DAMAGED, LINKED
     ),
+    "lookup_hot_parent": _with(
+        " UNION ALL ".join(
+            [
+                _check("collateral_link", "integrity", "present:parent_exposure_id", "hot_link", "parent_exposure_id IS NULL"),
+                _check("collateral_link", "accuracy", "at_most_times:value_eur,parent_amount_eur", "hot_link", OVER),
+                _check("collateral_link", "accuracy", "before:valuation_date,parent_as_of_date", "hot_link", FUTURE),
+            ]
+        ),
+        "hot AS (SELECT * REPLACE (CASE collateral_type WHEN 'CASH' THEN 'EXP9999000000000007' "
+        "WHEN 'EQUITY' THEN exposure_id END AS exposure_id) FROM cl)",
+        "hot_link AS (SELECT h.*, p.exposure_id AS parent_exposure_id, p.amount_eur AS parent_amount_eur, "
+        "p.as_of_date AS parent_as_of_date FROM hot h LEFT JOIN ex p ON p.exposure_id = h.exposure_id)",
+    ),
     "rule_future_valuation": _with(
         "SELECT collateral_type, count(*) AS row_count, max(valuation_date) AS last_date "
         f"FROM linked WHERE {FUTURE} GROUP BY collateral_type",

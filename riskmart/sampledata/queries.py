@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from riskmart import model
 from riskmart.functions.casts import lenient
 from riskmart.functions.display import euro, percent, severity
-from riskmart.operators import defects, latest, references, rollups, scoring
+from riskmart.operators import defects, latest, references, rollups, scoring, skew
 from riskmart.operators import rules as R
 from riskmart.plans import conform, marts, reports
 from riskmart.plans.refresh import refresh
@@ -571,6 +571,22 @@ def rule_over_value(spark, sf_dir):
     return bad.select("collateral_id", "exposure_id", "value_eur", "parent_amount_eur")
 
 
+@query
+def lookup_hot_parent(spark, sf_dir):
+    """A third of the collateral hangs on one exposure and some on none."""
+    cl = views.collateral(spark, sf_dir)
+    hot = F.when(F.col("collateral_type") == "CASH", "EXP9999000000000007").when(
+        F.col("collateral_type") == "EQUITY", F.col("exposure_id")
+    )
+    linked = skew.spread_lookup(
+        cl.withColumn("exposure_id", hot),
+        views.exposure(spark, sf_dir),
+        "exposure_id",
+        ["amount_eur", "as_of_date"],
+    )
+    return scoring.score_table(linked, "collateral_link", LINK_RULES)
+
+
 @query
 def rule_future_valuation(spark, sf_dir):
     bad = R.failing_rows(_linked(spark, sf_dir), LINK_RULES[2])

@@ -15,15 +15,8 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 LAYOUTS = ("flat", "folders")
 
-LISTING_SCHEMA = T.StructType(
-    [
-        T.StructField("source_file", T.StringType()),
-        T.StructField("table_name", T.StringType()),
-        T.StructField("path", T.StringType()),
-        T.StructField("modified_at", T.TimestampType()),
-        T.StructField("size_bytes", T.LongType()),
-    ]
-)
+# A listing of very many files is spread over this many tasks, not one per file.
+LISTING_TASKS = 200
 
 
 def _locate(spark: SparkSession, path: str):
@@ -92,7 +85,7 @@ def list_files(
         "path",
         "modified_at",
         "size_bytes",
-    )
+    ).coalesce(LISTING_TASKS)
 
 
 def read_text_csv(
