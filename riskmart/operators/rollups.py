@@ -63,6 +63,11 @@ def rwa_by_segment(
     )
 
 
+def in_cell_order(rwa: DataFrame) -> DataFrame:
+    """Rollup rows by their group columns, for reading; tables are written unsorted."""
+    return rwa.orderBy(*RWA_GROUPS)
+
+
 def top_rwa(rwa: DataFrame, n: int = 25) -> DataFrame:
     """The ``n`` largest cells; ties settled by the group columns."""
     return rwa.orderBy(F.col("total_rwa_eur").desc(), *RWA_GROUPS).limit(n)

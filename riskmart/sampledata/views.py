@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart import model
+from riskmart.functions.ids import identifier
 
 # How codes of the sample tables map onto the domains. Codes without an entry
 # keep their text and so fall outside the domain.
@@ -27,10 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _id(prefix: str, number: str, width: int) -> str:
-    return f"concat('{prefix}', lpad(CAST({number} AS string), {width}, '0'))"
-
-
 def _coded(column: str, mapping: dict[str, str]) -> str:
     cases = " ".join(f"WHEN '{code}' THEN '{value}'" for code, value in mapping.items())
     return f"CASE {column} {cases} ELSE {column} END"
@@ -42,11 +39,11 @@ def counterparty(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer")
         .join(nation, F.expr("c_nationkey = n_nationkey"))
         .selectExpr(
-            f"{_id(model.LEI_PREFIX, 'c_custkey', 16)} AS lei",
+            f"{identifier(model.LEI_PREFIX, 'c_custkey', 16)} AS lei",
             "c_name AS legal_name",
             "n_name AS country_iso2",
             "c_mktsegment AS sector",
-            f"IF(c_custkey % 10 < 3, {_id(model.LEI_PREFIX, 'c_custkey div 10', 16)}, NULL) AS parent_lei",
+            f"IF(c_custkey % 10 < 3, {identifier(model.LEI_PREFIX, 'c_custkey div 10', 16)}, NULL) AS parent_lei",
             "date_add(date'2010-01-01', CAST(c_custkey * 37 % 5110 AS int)) AS inception_date",
             f"timestamp_ntz'2026-01-01 00:00:00' AS {model.LOADED_AT}",
         )
@@ -58,8 +55,8 @@ def exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
     nth = f"CAST(o_orderkey % {len(model.RISK_WEIGHTS)} + 1 AS int)"
     as_of = "last_day(o_orderdate)"
     return table(spark, sf_dir, "orders").selectExpr(
-        f"{_id(model.EXPOSURE_PREFIX, 'o_orderkey', 12)} AS exposure_id",
-        f"{_id(model.LEI_PREFIX, 'o_custkey', 16)} AS lei",
+        f"{identifier(model.EXPOSURE_PREFIX, 'o_orderkey', 12)} AS exposure_id",
+        f"{identifier(model.LEI_PREFIX, 'o_custkey', 16)} AS lei",
         f"{_coded('o_orderpriority', TYPE_OF_PRIORITY)} AS exposure_type",
         "o_totalprice AS amount_eur",
         f"{as_of} AS as_of_date",
@@ -74,8 +71,8 @@ def exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def collateral(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Not unique on its key: order lines repeat line numbers, which is what dedup is for."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        f"{_id(model.COLLATERAL_PREFIX, '(l_orderkey * 10 + l_linenumber)', 12)} AS collateral_id",
-        f"{_id(model.EXPOSURE_PREFIX, 'l_orderkey', 12)} AS exposure_id",
+        f"{identifier(model.COLLATERAL_PREFIX, '(l_orderkey * 10 + l_linenumber)', 12)} AS collateral_id",
+        f"{identifier(model.EXPOSURE_PREFIX, 'l_orderkey', 12)} AS exposure_id",
         f"{_coded('l_returnflag', TYPE_OF_RETURNFLAG)} AS collateral_type",
         "l_extendedprice AS value_eur",
         "l_discount AS haircut_pct",

@@ -59,3 +59,16 @@ def test_replayed_batch_replaces_itself(spark, place):
 def test_missing_source(spark, place, tmp_path):
     with pytest.raises(FileNotFoundError):
         land_stream(spark, str(tmp_path / "nowhere"), place[1], "events", place[2])
+
+
+def test_restart_with_more_columns(spark, place):
+    source, root, _ = place
+    run(spark, place)
+    for i in range(3):
+        (source / f"f{i}.csv").unlink()
+    (source / "wide.csv").write_text("a,b,c\n7,x,new\n")
+    wide = spark.createDataFrame([], SCHEMA + ", c string").schema
+    land_stream(spark, str(source), root, "events", wide)
+    rows = landing.read_landed(spark, root, "events", merge_schema=True)
+    assert "c" in rows.columns
+    assert {(r.a, r.c) for r in rows.collect()} == {("0", None), ("1", None), ("2", None), ("7", "new")}
