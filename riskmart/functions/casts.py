@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DATE_FORMAT = "yyyy-MM-dd"
+# Full ISO dates only. A plain cast would read '2020' as the first of January, and the general
+# date parser takes several times as long.
+ISO_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 
 def lenient(column: Column | str, type_name: str) -> Column:
-    """Cast text to ``type_name``, null where the text is not a value of that type.
-
-    Dates must match the full ``yyyy-MM-dd`` form: a plain ``try_cast`` would read
-    ``'2020'`` as the first of January.
-    """
+    """Cast text to ``type_name``, null where the text is not a value of that type."""
     c = F.col(column) if isinstance(column, str) else column
     if type_name == "date":
-        return F.try_to_date(c, DATE_FORMAT)
+        return F.when(c.rlike(ISO_DATE), c.try_cast("date"))
     return c.try_cast(type_name)

@@ -14,7 +14,7 @@ from riskmart.operators.rollups import rwa_rollup
 from riskmart.operators.rules import Rule
 from riskmart.operators.scoring import score_table
 from riskmart.session import together
-from riskmart.sources.tables import read_table, table_exists, write_table
+from riskmart.sources.tables import FORMAT, read_table, table_exists, write_table
 
 SCORECARD_COLUMNS = model.SCORECARD_SCHEMA.fieldNames()
 
@@ -47,11 +47,15 @@ def _together(parts: list[DataFrame]) -> DataFrame:
 
 
 def build_gold(
-    spark: SparkSession, silver_root: str, gold_root: str, snapshot_ts: datetime | None = None
+    spark: SparkSession,
+    silver_root: str,
+    gold_root: str,
+    snapshot_ts: datetime | None = None,
+    fmt: str = FORMAT,
 ) -> dict[str, int]:
     """Replace the rollup, append one scorecard snapshot; rows written, per table."""
     present = {
-        s: read_table(spark, silver_root, s)
+        s: read_table(spark, silver_root, s, fmt)
         for s in model.SCORECARD_RULES
         if table_exists(spark, silver_root, s)
     }
@@ -59,10 +63,10 @@ def build_gold(
     jobs = {}
     if "exposure" in present:
         jobs[model.RWA_TABLE] = lambda: write_table(
-            rwa_rollup(present["exposure"]), gold_root, model.RWA_TABLE, "overwrite"
+            rwa_rollup(present["exposure"]), gold_root, model.RWA_TABLE, "overwrite", fmt
         )
     if present:
         jobs[model.SCORECARD_TABLE] = lambda: write_table(
-            scorecard(present, stamp), gold_root, model.SCORECARD_TABLE, "append"
+            scorecard(present, stamp), gold_root, model.SCORECARD_TABLE, "append", fmt
         )
     return {model.SCORECARD_TABLE: 0} | together(jobs)

@@ -313,6 +313,7 @@ CL_NULL_KEY = (
 
 ORACLE: dict[str, str] = {
     "rwa_by_counterparty_type_date": _with("SELECT * FROM rwa", RWA),
+    "rwa_sorted": _with(f"SELECT * FROM rwa ORDER BY {CELL}", RWA),
     "rwa_top25": _with(f"SELECT * FROM rwa ORDER BY total_rwa_eur DESC, {CELL} LIMIT 25", RWA),
     "rwa_top25_totals": _with(
         "SELECT CAST(sum(exposure_count) AS BIGINT) AS exposure_count, sum(total_amount_eur) AS total_amount_eur, "
@@ -370,7 +371,7 @@ ORACLE: dict[str, str] = {
     ),
     "dq_timeliness_future_row": _with(
         _row("collateral", "timeliness", "timely:valuation_date", _late("moved", "valuation_date", 180)),
-        "moved AS (SELECT * REPLACE (CASE WHEN collateral_id = 'COL9999000000000011' THEN DATE '2030-01-01' "
+        "moved AS (SELECT * REPLACE (CASE WHEN exposure_id = 'EXP9999000000000007' THEN DATE '2030-01-01' "
         "ELSE valuation_date END AS valuation_date) FROM cl)",
     ),
     "dq_timeliness_null_dates": _with(
@@ -540,3 +541,4 @@ FROM events GROUP BY event_type""",
     "source || '.' || dimension, score FROM ranked "
     "UNION ALL SELECT 'rwa_top', lei || '|' || exposure_type || '|' || CAST(as_of_date AS VARCHAR), 'total_rwa_eur', total_rwa_eur FROM top",
 }
+ORACLE["report_export"] = ORACLE["report_document"]

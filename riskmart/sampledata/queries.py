@@ -52,6 +52,11 @@ def rwa_by_counterparty_type_date(spark, sf_dir):
     return _rwa(spark, sf_dir)
 
 
+@query
+def rwa_sorted(spark, sf_dir):
+    return rollups.in_cell_order(_rwa(spark, sf_dir))
+
+
 @query
 def rwa_top25(spark, sf_dir):
     return rollups.top_rwa(_rwa(spark, sf_dir))
@@ -189,11 +194,11 @@ def dq_timeliness_expected(spark, sf_dir):
 
 @query
 def dq_timeliness_future_row(spark, sf_dir):
-    """One valuation far in the future makes every honest row late."""
-    last = F.col("collateral_id") == "COL9999000000000011"
+    """One exposure's valuations far in the future make every honest row late."""
+    moved = F.col("exposure_id") == "EXP9999000000000007"
     cl = views.collateral(spark, sf_dir).withColumn(
         "valuation_date",
-        F.when(last, F.lit(date(2030, 1, 1))).otherwise(F.col("valuation_date")),
+        F.when(moved, F.lit(date(2030, 1, 1))).otherwise(F.col("valuation_date")),
     )
     return scoring.score_table(cl, "collateral", [R.Timely("valuation_date", 180)])
 
@@ -668,7 +673,7 @@ def ingest_rerun(spark, sf_dir):
         {
             "bronze": {
                 t: landing.read_landed(spark, f"{base}/bronze", t)
-                for t in landing.landed_tables(spark, f"{base}/bronze")
+                for t in landing.landed_batches(spark, f"{base}/bronze")
             }
         }
     )
@@ -790,12 +795,24 @@ def layer_totals(spark, sf_dir):
     return reports.layer_totals(reports.table_counts(_layers(spark, sf_dir)))
 
 
-@query
-def report_document(spark, sf_dir):
+def _document(spark, sf_dir) -> DataFrame:
     layers = _layers(spark, sf_dir)
-    document = reports.report_document(
+    return reports.report_document(
         reports.table_counts(layers),
         _written_history(spark, sf_dir),
         layers["gold"][model.RWA_TABLE],
     )
-    return reports.flatten_document(document)
+
+
+@query
+def report_document(spark, sf_dir):
+    return reports.flatten_document(_document(spark, sf_dir))
+
+
+@query
+def report_export(spark, sf_dir):
+    """The report written as JSON and read back."""
+    path = f"{scratch_dir(spark, 'report')}/report"
+    document = _document(spark, sf_dir)
+    files.write_json(document, path)
+    return reports.flatten_document(spark.read.schema(document.schema).json(path))

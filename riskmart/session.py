@@ -14,6 +14,9 @@ Result = TypeVar("Result")
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Temporary folders of local sessions, by application.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
 # Bytes one shuffle task should handle; AQE merges smaller ones and splits skewed ones.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
@@ -63,11 +66,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_CONF} must name a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="riskmart-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="riskmart-")
+        base = _LOCAL_SCRATCH[app]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -44,6 +44,11 @@ def row(i="EXP1", amount="1000", weight="0.5", day="2026-03-31", stage="STAGE_1"
         ("2026-02-30", "date", None),
         ("31/03/2026", "date", None),
         ("2026-03-31 00:00", "date", None),
+        ("2026-03-31\n", "date", None),
+        (" 2026-03-31", "date", None),
+        ("2026-3-31", "date", None),
+        ("2026-03-3T", "date", None),
+        ("12026-3-31", "date", None),
     ],
 )
 def test_lenient_casts(spark, text, type_name, expected):
@@ -180,9 +185,10 @@ def test_incremental_conform_equals_rebuild(spark, delivery, tmp_path):
     delivery(source, 1.0)
     landing.land(spark, source, bronze, layout="folders")
     conform.build_silver(spark, bronze, f"{root}/silver1")
+    since = landing.landed_batches(spark, bronze)
     delivery(source, 0.6)
     landing.land(spark, source, bronze, layout="folders")
-    since = {t: 0 for t in model.COLUMNS}
+    assert landing.landed_batches(spark, bronze) == {t: 1 for t in model.COLUMNS}
     counts = conform.advance_silver(spark, bronze, f"{root}/silver1", f"{root}/silver2", since)
     assert counts == conform.build_silver(spark, bronze, f"{root}/full")
     for t in model.COLUMNS:
