@@ -32,7 +32,8 @@ def chosen_defect(key: str, cleanliness: float | str, seed: int, names: tuple[st
         cleanliness = f"{float(cleanliness)!r}D"
     quoted = ", ".join(f"'{n}'" for n in names)
     pick = f"CAST({draw(key, seed, 'kind')} % {len(names)} + 1 AS int)"
-    dirty = f"{fraction(key, seed, 'dirty')} > ({cleanliness})"
+    # Clean rows need no draw.
+    dirty = f"({cleanliness}) < 1.0D AND {fraction(key, seed, 'dirty')} > ({cleanliness})"
     return f"IF({dirty}, element_at(array({quoted}), {pick}), NULL)"
 
 

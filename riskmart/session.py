@@ -51,6 +51,7 @@ def local_session(cores: int | str = 8, app_name: str = "riskmart", **extra: str
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
+        "spark.driver.extraJavaOptions": "-XX:+UseParallelGC",
     }
     for name, value in (conf | extra).items():
         builder = builder.config(name, value)

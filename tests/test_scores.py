@@ -1,6 +1,8 @@
 """Scorers on literal rows."""
 
-from datetime import date
+import random
+from collections import Counter
+from datetime import date, timedelta
 
 import pytest
 
@@ -207,3 +209,36 @@ def test_business_rules(spark):
     rules = [R.Positive("v"), R.Before("a", "b"), R.Before("a", "b", or_equal=True), R.Present("a")]
     assert [r.failed_count for r in scoring.score_table(df, "s", rules).collect()] == [2, 2, 1, 1]
     assert R.failing_rows(df, R.Positive("v")).count() == 2
+
+
+def plain_scores(rows, low, high, lag):
+    """The four measures counted row by row in Python: (sample, failed) each."""
+    n = len(rows)
+    incomplete = sum(1 for k, t, _, _ in rows if k in (None, "") or t in (None, ""))
+    extra = sum(c - 1 for c in Counter(k for k, *_ in rows).values())
+    outside = sum(1 for *_, v, _ in rows if v is None or not low <= v <= high)
+    days = [d for *_, d in rows if d is not None]
+    late = sum(1 for d in days if abs((max(days) - d).days) > lag)
+    out = [(n, incomplete), (n, extra), (n, outside)]
+    return out + [(len(days), late)] if days else out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_random_tables_match_a_row_by_row_count(spark, seed):
+    rng = random.Random(seed)
+    texts = ["", None, "x", "y"]
+    rows = [
+        (
+            "hot" if rng.random() < 0.34 else rng.choice([None, "", *map(str, range(40))]),
+            rng.choice(texts),
+            rng.choice([None, -1.0, 0.0, 0.5, 1.0, 1.5, float("nan")]),
+            rng.choice([None, date(2026, 1, 1) + timedelta(days=rng.randint(0, 400))]),
+        )
+        for _ in range(rng.choice([1, 50, 700]))
+    ]
+    df = spark.createDataFrame(rows, "k string, t string, v double, d date").repartition(5)
+    rules = [R.Complete(("k", "t")), R.Unique(("k",)), R.InRange("v", 0, 1), R.Timely("d", 90)]
+    scored = scoring.score_table(df, "s", rules).collect()
+    expected = plain_scores(rows, 0, 1, 90)
+    assert [(r.sample_size, r.failed_count) for r in scored] == expected
+    assert [r.score for r in scored] == [1.0 - f / n for n, f in expected]
