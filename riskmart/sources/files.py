@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,12 @@ CORRUPT = "_corrupt_record"
 # Quotes inside a quoted field are doubled, as usual in CSV; a backslash is plain text.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
+# The name of the file a row came from. Spark gives it in URI form; plain names pass unchanged.
+FILE_NAME = (
+    "IF(contains(_metadata.file_name, '%'), "
+    "url_decode(replace(_metadata.file_name, '+', '%2B')), _metadata.file_name)"
+)
+
 LAYOUTS = ("flat", "folders")
 
 # A listing of very many files is spread over this many tasks, not one per file.
@@ -88,6 +95,11 @@ def list_files(
     ).coalesce(LISTING_TASKS)
 
 
+def _as_is(path: str) -> str:
+    """A path whose brackets, stars and the like are part of the name, not a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def read_text_csv(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False
 ) -> DataFrame:
@@ -98,7 +110,7 @@ def read_text_csv(
     one task per file.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    paths = [_as_is(p) for p in ([paths] if isinstance(paths, str) else paths)]
     header = reader.csv(paths[0]).schema
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in header])
     return reader.option("enforceSchema", "false").schema(text).csv(paths)
@@ -129,7 +141,7 @@ def read_with_rejects(
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
     }
-    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("source_file"), "value")
+    lines = spark.read.text(path).selectExpr(f"{FILE_NAME} AS source_file", "value")
     if header:
         lines = lines.filter(F.col("value") != ",".join(schema.fieldNames()))
     parsed = lines.withColumn("row", F.from_csv("value", _ddl(wide), options))

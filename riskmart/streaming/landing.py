@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskmart.model import INGEST_TS, SOURCE_FILE
-from riskmart.sources.files import CSV_OPTIONS, require_directory
+from riskmart.sources.files import CSV_OPTIONS, FILE_NAME, require_directory
 from riskmart.sources.landing import write_batch
 
 
@@ -34,7 +34,7 @@ def stream_files(
         .option("maxFilesPerTrigger", files_per_batch)
         .schema(text)
         .csv(source_dir)
-        .withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+        .withColumn(SOURCE_FILE, F.expr(FILE_NAME))
     )
 
 

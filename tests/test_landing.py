@@ -147,6 +147,16 @@ def test_a_run_that_died_before_logging_is_repeated_once(spark, tmp_path):
     assert held(spark, root, "events") == 8
 
 
+def test_odd_file_names(spark, tmp_path):
+    source, root = many_files(tmp_path, 1)
+    for name in ["a [1].csv", "b%20{x}.csv", "é ü.csv", "c+d.csv"]:
+        (tmp_path / "in" / "events" / name).write_text("a,b\n9,z\n")
+    assert landing.land(spark, source, root, layout="folders") == {"events": 6}
+    logged = {r.source_file: r.row_count for r in landing.read_log(spark, root).collect()}
+    assert logged == {"events/part-000.csv": 2, "events/a [1].csv": 1, "events/b%20{x}.csv": 1, "events/é ü.csv": 1, "events/c+d.csv": 1}
+    assert landing.land(spark, source, root, layout="folders") == {"events": 0}
+
+
 def test_files_with_differing_headers_are_an_error(spark, tmp_path):
     source, root = many_files(tmp_path, 2)
     (tmp_path / "in" / "events" / "part-900.csv").write_text("b,a\nx,1\n")
