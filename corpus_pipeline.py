@@ -1,26 +1,53 @@
-"""From raw documents to packed training sequences: each stage works on what the last one kept."""
+"""From raw documents to packed training sequences: each stage works on what the last one kept.
+
+All but the last stage return the columns of documents. Rows that share a doc_id stay together.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import decontamination, packing
+from riskmart.llm import decontamination, jaccard, language, packing, secrets
 from riskmart.llm.common import table, written
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go, and those whose likeliest language has less than even odds.
+
+    The model learns from the labelled documents that are not held out.
+    """
+    return language.keep_identified(docs, language.train(docs.filter(~language.held_out())))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 in five-word shingles one stays."""
+    return jaccard.keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten consecutive words of a benchmark item go."""
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are replaced."""
+    return secrets.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 ids: one row per piece of a document."""
     return packing.pack(docs, with_ids=False)
 
 
-STAGES = [("benchmark decontamination", decontaminate), ("packing", pack)]
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", redact_secrets),
+    ("packing", pack),
+]
 
-# Token ids and a linear program are beyond SQL.
+# A trained model, token ids and a linear program are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontamination, packing, token_store
-from riskmart.llm.common import table
+from riskmart.llm import decontamination, jaccard, language, neighbours, packing, pii, rollup, secrets, token_store, warc
+from riskmart.llm.common import shared_folder, table
+from riskmart.llm.spans import hashed, spelt
+
+
+def _count_of(marks: str, kind: str) -> Column:
+    return F.size(F.filter(marks, lambda m: m["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,10 +29,32 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.filter(~language.held_out()))
+    found, name = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", language.held_out().alias("held_out"),
+        F.col(f"{name}.lang_pred").alias("lang_pred"), F.col(f"{name}.score").alias("score"),
+    )
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_all(table(spark, sf_dir, "documents"))
+    counts = [_count_of("base", k) for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, hashed(F.col("base")).alias("base_sha256"), spelt(F.concat("base", "terms")).alias("spans")
+    )
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(table(spark, sf_dir, "documents"), checksums=True)
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), size=4, num=85, den=100)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits, name = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -33,6 +68,32 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in two versions; poor ones revised to words without digits, toxic ones deleted."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    state = shared_folder(spark, "token-rollup")
+    first = {"words-1": rollup.VERSIONS["words-1"]}
+    rollup.insert(docs, state, "load", versions=first)
+    rollup.insert(docs, state, "load-runs", versions={"runs-1": rollup.VERSIONS["runs-1"]})
+    poor = docs.join(labels.filter("quality = 0").select("doc_id"), "doc_id", "left_semi")
+    rollup.revise(poor.withColumn("text", F.regexp_replace("text", "[0-9]+", " ")), state, "revise", first)
+    toxic = labels.filter("toxic = 1").select("doc_id")
+    rollup.delete(toxic, state, "delete")
+    rollup.delete(toxic, state, "delete")  # a replayed batch changes nothing
+    return rollup.totals(spark, state)
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, name = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter(name, lambda m: m["ord"] < len(secrets.BASE))
+    counts = [_count_of(name, r.kind) for r in secrets.BASE]
+    return found.select("doc_id", *counts, hashed(base).alias("base_sha256"), spelt(F.col(name)).alias("spans"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op6_token_store, op8_decontamination)
+    f.__name__: f
+    for f in (
+        op1_warc, op2_neighbours, op3_packing, op4_language, op5_pii, op6_token_store, op7_jaccard, op8_decontamination,
+        op9_token_rollup, op10_secrets,
+    )
 }
