@@ -113,6 +113,15 @@ def file_tasks(spark: SparkSession, n_files: int) -> int:
     return max(1, min(n_files, 1000 * cores))
 
 
+def hash_bound(df: DataFrame, column: str, n: int) -> int | None:
+    """The ``n``-th smallest hash of a column: rows up to it are a sample of about ``n``.
+
+    Only hashes are sorted, so that choosing the sample moves no texts or vectors.
+    """
+    hashes = df.select(F.xxhash64(F.col(quoted(column))).alias("h")).orderBy("h").limit(n)
+    return hashes.agg(F.max("h")).first()[0]
+
+
 def empty_as(column: str):
     """A null text reads as the empty one."""
     return F.coalesce(F.col(quoted(column)), F.lit(""))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import quoted, ship, written
+from riskmart.llm.common import hash_bound, quoted, ship, written
 
 K = 20
 TREES = 12
@@ -178,7 +178,8 @@ def search(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddi
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     width, count, longest = shape.width, shape.n, float(np.sqrt(shape.longest))
     rows = rows.filter(F.size("v") == width)
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample).select("v").toArrow()
+    bound = hash_bound(rows, "vec_id", sample)
+    picked = rows.filter(F.xxhash64("vec_id") <= bound).select("v").limit(sample).toArrow()
     points = _widened(_matrix(picked.column("v"), width), longest)
     depth = max(0, int(np.ceil(np.log2(max(1.0, count / leaf_rows)))))
     forest = [grow(points, depth, LEAF_SAMPLE, seed) for seed in range(trees)]
