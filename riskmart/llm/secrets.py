@@ -219,15 +219,16 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: st
     Texts without secrets, null ones included, stay as they are.
     """
     frame, name = scan(docs, doc_id=doc_id, text=text)
-    clean = F.when(F.size(F.col(name)) > 0, replaced(F.col(quoted(text)), F.col(name), lambda m: F.lit(REPLACEMENT))).otherwise(
-        F.col(quoted(text))
-    )
-    kinds = dict(docs.dtypes)
     changed = F.size(F.col(name)) > 0
+    hidden = replaced(F.col(quoted(text)), F.col(name), lambda m: F.lit(REPLACEMENT))
+    # Under a name of its own first: a column named like the text would be taken for the text.
+    clean = fresh_name(frame, "clean_text")
+    frame = frame.withColumn(clean, F.when(changed, hidden).otherwise(F.col(quoted(text))))
+    kinds = dict(docs.dtypes)
 
     def column(c: str) -> Column:
         if c == text:
-            return clean.alias(c)
+            return F.col(clean).alias(c)
         if c == size and kinds[c] in ("int", "bigint"):
             return F.when(changed, F.char_length(clean).cast(kinds[c])).otherwise(F.col(quoted(c))).alias(c)
         return F.col(quoted(c))
