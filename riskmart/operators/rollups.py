@@ -10,34 +10,62 @@ from pyspark.sql import functions as F
 RWA_GROUPS = ("lei", "exposure_type", "as_of_date")
 
 
-def _sum(amount: Column) -> Column:
-    """A sum that is 0 where there is nothing to add."""
-    return F.coalesce(F.sum(amount).cast("double"), F.lit(0.0))
+# Amounts are added as decimals of this many places, in which addition has no order: totals do
+# not depend on how tasks deliver their parts. A double below 2^53 has at most 16 digits, so only
+# what is smaller than a tenth of a billionth is rounded.
+PLACES = 10
+ADDEND = f"decimal(38,{PLACES})"
+# Larger values would leave no room for the sum; they are added as doubles, with NaN and infinity.
+LARGEST = 1e18
 
 
-def rwa_rollup(
-    exposure: DataFrame, groups: Sequence[str] = RWA_GROUPS, exact: bool = False
-) -> DataFrame:
-    """Count, amount and amount x weight per group.
+def _addends(amount: Column, name: str) -> list[Column]:
+    """Two sums: of what fits the decimal, and of what doesn't (NaN, infinite, huge)."""
+    value = amount.cast("double")
+    fits = ~F.isnan(value) & (F.abs(value) < LARGEST)
+    return [
+        F.sum(F.when(fits, value).try_cast(ADDEND)).alias(f"{name}_fits"),
+        F.sum(F.when(~fits, value)).alias(f"{name}_odd"),
+    ]
+
+
+def _added(name: str) -> list[Column]:
+    return [F.sum(f"{name}_fits").alias(f"{name}_fits"), F.sum(f"{name}_odd").alias(f"{name}_odd")]
 
-    ``exact`` adds in decimals (amounts to the cent, weights to four places) instead of
-    doubles, so totals do not depend on the order in which tasks deliver their parts.
-    """
-    amount, weight = F.col("amount_eur"), F.col("risk_weight")
-    if exact:
-        amount, weight = amount.cast("decimal(18,2)"), weight.cast("decimal(6,4)")
-    return exposure.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("exposure_count"),
-        _sum(amount).alias("total_amount_eur"),
-        _sum(amount * weight).alias("total_rwa_eur"),
-    )
+
+def _total(name: str) -> Column:
+    """The two sums in one; 0 where there is nothing to add, NaN where one was added."""
+    whole = F.coalesce(F.col(f"{name}_fits").cast("double"), F.lit(0.0))
+    return whole + F.coalesce(F.col(f"{name}_odd"), F.lit(0.0))
+
+
+def _measures() -> list[Column]:
+    amount = F.col("amount_eur").cast("double")
+    return [
+        F.count(F.lit(1)).alias("_n"),
+        *_addends(amount, "_amount"),
+        *_addends(amount * F.col("risk_weight").cast("double"), "_rwa"),
+    ]
+
+
+def _totals(groups: Sequence[str]) -> list[Column]:
+    return [
+        *[F.col(g) for g in groups],
+        F.col("_n").alias("exposure_count"),
+        _total("_amount").alias("total_amount_eur"),
+        _total("_rwa").alias("total_rwa_eur"),
+    ]
+
+
+def rwa_rollup(exposure: DataFrame, groups: Sequence[str] = RWA_GROUPS) -> DataFrame:
+    """Count, amount and amount x weight per group. Odd values never stop the job."""
+    return exposure.groupBy(*groups).agg(*_measures()).select(*_totals(groups))
 
 
 def rwa_by_segment(
     exposure: DataFrame,
     counterparty: DataFrame,
     segments: Sequence[str],
-    exact: bool = False,
 ) -> DataFrame:
     """Rollup by columns of the exposure and of its counterparty.
 
@@ -47,20 +75,10 @@ def rwa_by_segment(
     """
     own = [c for c in segments if c in exposure.columns]
     theirs = [c for c in segments if c not in exposure.columns]
-    amount, weight = F.col("amount_eur"), F.col("risk_weight")
-    if exact:
-        amount, weight = amount.cast("decimal(18,2)"), weight.cast("decimal(6,4)")
-    partial = exposure.groupBy("lei", *own).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(amount).alias("_amount"),
-        F.sum(amount * weight).alias("_rwa"),
-    )
+    partial = exposure.groupBy("lei", *own).agg(*_measures())
     joined = partial.join(counterparty.select("lei", *theirs), "lei", "left") if theirs else partial
-    return joined.groupBy(*segments).agg(
-        F.sum("_n").alias("exposure_count"),
-        _sum(F.col("_amount")).alias("total_amount_eur"),
-        _sum(F.col("_rwa")).alias("total_rwa_eur"),
-    )
+    summed = joined.groupBy(*segments).agg(F.sum("_n").alias("_n"), *_added("_amount"), *_added("_rwa"))
+    return summed.select(*_totals(segments))
 
 
 def in_cell_order(rwa: DataFrame) -> DataFrame:
@@ -77,6 +95,6 @@ def totals(rwa: DataFrame) -> DataFrame:
     """Grand totals over rollup rows."""
     return rwa.agg(
         F.coalesce(F.sum("exposure_count"), F.lit(0)).alias("exposure_count"),
-        _sum(F.col("total_amount_eur")).alias("total_amount_eur"),
-        _sum(F.col("total_rwa_eur")).alias("total_rwa_eur"),
-    )
+        *_addends(F.col("total_amount_eur"), "_amount"),
+        *_addends(F.col("total_rwa_eur"), "_rwa"),
+    ).select("exposure_count", _total("_amount").alias("total_amount_eur"), _total("_rwa").alias("total_rwa_eur"))

@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
+from decimal import Decimal
 from typing import ClassVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from riskmart.functions.casts import iso_date
+
 # The dimensions a score can belong to.
 DIMENSIONS = ("completeness", "accuracy", "timeliness", "integrity")
 
@@ -25,23 +28,43 @@ def literal(value: object) -> str:
         return "NULL"
     if isinstance(value, bool):
         return str(value).lower()
-    if isinstance(value, (int, float)):
-        if math.isfinite(value):
-            return f"{float(value)!r}D"
-        return f"double('{value}')"
+    if isinstance(value, int):
+        return f"{value}L" if -(2**63) < value < 2**63 else f"{value}BD"
+    if isinstance(value, Decimal):
+        return f"{value:f}BD" if value.is_finite() else f"double('{value}')"
+    if isinstance(value, float):
+        return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+    if isinstance(value, datetime):
+        kind = "timestamp_ntz" if value.tzinfo is None else "timestamp_ltz"
+        return f"{kind}'{value.isoformat(sep=' ')}'"
     if isinstance(value, date):
-        return f"date'{value.isoformat()[:10]}'"
+        return f"date'{value.isoformat()}'"
     text = str(value).replace("\\", "\\\\").replace("'", "\\'")
     return f"'{text}'"
 
 
 def column(schema: T.StructType, name: str) -> str:
     """The named column, or NULL when the table does not have it."""
-    return f"`{name}`" if name in schema.fieldNames() else "NULL"
+    found = field_of(schema, name)
+    return "NULL" if found is None else "`" + found.name.replace("`", "``") + "`"
+
+
+def field_of(schema: T.StructType, name: str) -> T.StructField | None:
+    """The column of that name; like Spark itself, without regard to case if none has just that."""
+    exact = [f for f in schema if f.name == name]
+    return next(iter(exact or [f for f in schema if f.name.lower() == name.lower()]), None)
+
+
+def day(schema: T.StructType, name: str) -> str:
+    """The named column as a date; text that is no full ISO date has none."""
+    if _is_type(schema, name, T.StringType):
+        return iso_date(column(schema, name))
+    return f"CAST({column(schema, name)} AS date)"
 
 
 def _is_type(schema: T.StructType, name: str, kind: type) -> bool:
-    return name in schema.fieldNames() and isinstance(schema[name].dataType, kind)
+    found = field_of(schema, name)
+    return found is not None and isinstance(found.dataType, kind)
 
 
 @dataclass(frozen=True)
@@ -105,7 +128,7 @@ class InRange(Rule):
         if not _is_type(schema, self.field, T.NumericType):
             return "true"
         bounds = f"{literal(self.low)} AND {literal(self.high)}"
-        return f"NOT coalesce(`{self.field}` BETWEEN {bounds}, false)"
+        return f"NOT coalesce({column(schema, self.field)} BETWEEN {bounds}, false)"
 
 
 @dataclass(frozen=True)
@@ -113,7 +136,8 @@ class Timely(Rule):
     """Dates at most ``max_lag_days`` from the expected one, before or after.
 
     Without ``expected`` the latest date of the table itself is the expected one, and a
-    table without dates gives no score. Null dates are outside the sample.
+    table without dates gives no score. Null dates, and text
+    that is no date, are outside the sample.
     """
 
     dimension: ClassVar[str] = "timeliness"
@@ -130,12 +154,12 @@ class Timely(Rule):
         return f"timely:{self.field}"
 
     def applies(self, schema: T.StructType) -> str:
-        return f"{column(schema, self.field)} IS NOT NULL"
+        return f"{day(schema, self.field)} IS NOT NULL"
 
     def failed(self, schema: T.StructType) -> str:
         if self.expected is None:
             return super().failed(schema)
-        lag = f"datediff({literal(self.expected)}, CAST({column(schema, self.field)} AS date))"
+        lag = f"datediff({literal(self.expected)}, {day(schema, self.field)})"
         return f"coalesce(abs({lag}) > {self.max_lag_days}, false)"
 
 

@@ -73,7 +73,7 @@ def score_table(
             narrow += [f"{R.column(schema, k)} AS {n}" for k, n in zip(rule.key, keys[i], strict=True)]
         elif isinstance(rule, R.Timely) and rule.expected is None:
             days[i] = f"_day{i}"
-            narrow.append(f"CAST({R.column(schema, rule.field)} AS date) AS {days[i]}")
+            narrow.append(f"{R.day(schema, rule.field)} AS {days[i]}")
         else:
             failed, applies = rule.failed(schema), rule.applies(schema)
             if applies is not None:

@@ -147,6 +147,14 @@ def average_of(card: DataFrame, dimension: str) -> DataFrame:
     return overall_average(card.filter(F.col("dimension") == dimension))
 
 
+def snapshot_averages(card: DataFrame, dimension: str | None = None) -> DataFrame:
+    """Mean score of every snapshot, or of one dimension in it; 1 where that was not measured."""
+    measured = F.lit(True) if dimension is None else F.col("dimension") == dimension
+    means = card.groupBy("snapshot_ts").agg(F.avg(F.when(measured, F.col("score"))).alias("mean"))
+    score = F.coalesce("mean", F.lit(1.0))
+    return means.select("snapshot_ts", score.alias("avg_score"), severity(score).alias("severity"))
+
+
 def table_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     """Row count of every table, by layer."""
     parts = [

@@ -44,7 +44,7 @@ def all_queries() -> dict[str, Query]:
 
 
 def _rwa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.rwa_rollup(views.exposure(spark, sf_dir), exact=True)
+    return rollups.rwa_rollup(views.exposure(spark, sf_dir))
 
 
 @query
@@ -79,7 +79,7 @@ def rwa_first10_display(spark, sf_dir):
 
 def _rwa_by(spark, sf_dir, *segments):
     exposure = views.exposure(spark, sf_dir)
-    return rollups.rwa_by_segment(exposure, views.counterparty(spark, sf_dir), segments, exact=True)
+    return rollups.rwa_by_segment(exposure, views.counterparty(spark, sf_dir), segments)
 
 
 @query
@@ -100,7 +100,7 @@ def rwa_by_country_and_type(spark, sf_dir):
 @query
 def rwa_damaged(spark, sf_dir):
     """Bad rows go into the rollup as they are."""
-    return rollups.rwa_rollup(_damaged_exposure(spark, sf_dir), exact=True)
+    return rollups.rwa_rollup(_damaged_exposure(spark, sf_dir))
 
 
 # --- single scores -------------------------------------------------------------------------
