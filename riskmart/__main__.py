@@ -34,7 +34,8 @@ def main(argv: list[str] | None = None) -> int:
         print("no scorecard rows")
     else:
         card = read_table(spark, f"{args.root.rstrip('/')}/gold", SCORECARD_TABLE)
-        reports.latest_snapshot(card).show(100, truncate=False)
+        latest = reports.latest_snapshot(card)
+        latest.show(latest.count(), truncate=False)  # a row per rule
     return 0
 
 

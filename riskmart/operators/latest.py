@@ -56,6 +56,10 @@ def merge_latest(
 
 
 def latest_per_group(df: DataFrame, groups: Sequence[str], order_by: str) -> DataFrame:
-    """The latest row of each group (for reports: the scorecard, a few rows per run)."""
-    window = Window.partitionBy(*groups).orderBy(F.col(order_by).desc())
+    """The latest row of each group (for reports: the scorecard, a few rows per run).
+
+    Ties are settled by the other columns, descending.
+    """
+    ties = [F.col(c).desc_nulls_last() for c in df.columns if c not in groups and c != order_by]
+    window = Window.partitionBy(*groups).orderBy(F.col(order_by).desc(), *ties)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

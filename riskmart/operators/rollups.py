@@ -10,22 +10,22 @@ from pyspark.sql import functions as F
 RWA_GROUPS = ("lei", "exposure_type", "as_of_date")
 
 
-# Amounts are added as decimals of this many places, in which addition has no order: totals do
-# not depend on how tasks deliver their parts. A double below 2^53 has at most 16 digits, so only
-# what is smaller than a tenth of a billionth is rounded.
-PLACES = 10
-ADDEND = f"decimal(38,{PLACES})"
+# Amounts and products are added as decimals, in which addition has no order: totals do not
+# depend on how tasks deliver their parts. Places beyond the eighth are rounded.
+AMOUNT, WEIGHT, ADDEND = "decimal(27,8)", "decimal(10,8)", "decimal(38,16)"
 # Larger values would leave no room for the sum; they are added as doubles, with NaN and infinity.
-LARGEST = 1e18
+LARGEST_AMOUNT, LARGEST_WEIGHT = 1e18, 1e2
 
 
-def _addends(amount: Column, name: str) -> list[Column]:
-    """Two sums: of what fits the decimal, and of what doesn't (NaN, infinite, huge)."""
-    value = amount.cast("double")
-    fits = ~F.isnan(value) & (F.abs(value) < LARGEST)
+def _within(value: Column, largest: float) -> Column:
+    return ~F.isnan(value) & (F.abs(value) < largest)
+
+
+def _addends(fits: Column, exact: Column, plain: Column, name: str) -> list[Column]:
+    """Two sums: of what fits the decimals, and of what doesn't (NaN, infinite, huge)."""
     return [
-        F.sum(F.when(fits, value).try_cast(ADDEND)).alias(f"{name}_fits"),
-        F.sum(F.when(~fits, value)).alias(f"{name}_odd"),
+        F.sum(F.when(fits, exact).cast(ADDEND)).alias(f"{name}_fits"),
+        F.sum(F.when(~fits, plain)).alias(f"{name}_odd"),
     ]
 
 
@@ -40,11 +40,15 @@ def _total(name: str) -> Column:
 
 
 def _measures() -> list[Column]:
-    amount = F.col("amount_eur").cast("double")
+    amount, weight = F.col("amount_eur").cast("double"), F.col("risk_weight").cast("double")
+    small, light = _within(amount, LARGEST_AMOUNT), _within(weight, LARGEST_WEIGHT)
+    # A value that doesn't fit is hidden from the cast: under ANSI rules the cast would stop the job.
+    a = F.when(small, amount).cast(AMOUNT)
+    w = F.when(light, weight).cast(WEIGHT)
     return [
         F.count(F.lit(1)).alias("_n"),
-        *_addends(amount, "_amount"),
-        *_addends(amount * F.col("risk_weight").cast("double"), "_rwa"),
+        *_addends(small, a, amount, "_amount"),
+        *_addends(small & light, a * w, amount * weight, "_rwa"),
     ]
 
 
@@ -95,6 +99,6 @@ def totals(rwa: DataFrame) -> DataFrame:
     """Grand totals over rollup rows."""
     return rwa.agg(
         F.coalesce(F.sum("exposure_count"), F.lit(0)).alias("exposure_count"),
-        *_addends(F.col("total_amount_eur"), "_amount"),
-        *_addends(F.col("total_rwa_eur"), "_rwa"),
-    ).select("exposure_count", _total("_amount").alias("total_amount_eur"), _total("_rwa").alias("total_rwa_eur"))
+        F.coalesce(F.sum("total_amount_eur"), F.lit(0.0)).alias("total_amount_eur"),
+        F.coalesce(F.sum("total_rwa_eur"), F.lit(0.0)).alias("total_rwa_eur"),
+    )

@@ -17,17 +17,34 @@ from riskmart.session import together
 from riskmart.sources.tables import FORMAT, read_table, table_exists, write_table
 
 SCORECARD_COLUMNS = model.SCORECARD_SCHEMA.fieldNames()
+SCORE_KEY = ("snapshot_ts", "source", "dimension", "rule")
 
 
 def scorecard(
     tables: Mapping[str, DataFrame],
     snapshot_ts: datetime | Column,
     rules: Mapping[str, Sequence[Rule]] = model.SCORECARD_RULES,
+    by_rule: bool = False,
 ) -> DataFrame:
-    """All sources scored under one snapshot time; sources without a table are left out."""
+    """All sources scored under one snapshot time; sources without a table are left out.
+
+    ``by_rule`` adds the rule to each row, which tells several of one dimension apart.
+    """
     stamp = snapshot_ts if isinstance(snapshot_ts, Column) else F.lit(snapshot_ts)
     parts = [score_table(tables[s], s, r) for s, r in rules.items() if s in tables]
-    return _together(parts).withColumn("snapshot_ts", stamp).select(*SCORECARD_COLUMNS)
+    columns = [*SCORECARD_COLUMNS, "rule"] if by_rule else SCORECARD_COLUMNS
+    return _together(parts).withColumn("snapshot_ts", stamp).select(*columns)
+
+
+def append_snapshot(spark: SparkSession, card: DataFrame, gold_root: str, fmt: str = FORMAT) -> int:
+    """Append the rows of a scorecard by rule that the mart doesn't hold; rows written."""
+    if table_exists(spark, gold_root, model.SCORECARD_TABLE):
+        held = read_table(spark, gold_root, model.SCORECARD_TABLE, fmt).select(*SCORE_KEY).distinct()
+        # The mart is read in full before the write, so a rerun cannot see its own rows.
+        card = card.join(held, list(SCORE_KEY), "left_anti")
+    if card.isEmpty():
+        return 0
+    return write_table(card, gold_root, model.SCORECARD_TABLE, "append", fmt)
 
 
 def scorecard_history(
@@ -53,7 +70,10 @@ def build_gold(
     snapshot_ts: datetime | None = None,
     fmt: str = FORMAT,
 ) -> dict[str, int]:
-    """Replace the rollup, append one scorecard snapshot; rows written, per table."""
+    """Replace the rollup, append one scorecard snapshot; rows written, per table.
+
+    A snapshot that is there already, as after a rerun with the same time, is not added again.
+    """
     present = {
         s: read_table(spark, silver_root, s, fmt)
         for s in model.SCORECARD_RULES
@@ -66,7 +86,7 @@ def build_gold(
             rwa_rollup(present["exposure"]), gold_root, model.RWA_TABLE, "overwrite", fmt
         )
     if present:
-        jobs[model.SCORECARD_TABLE] = lambda: write_table(
-            scorecard(present, stamp), gold_root, model.SCORECARD_TABLE, "append", fmt
+        jobs[model.SCORECARD_TABLE] = lambda: append_snapshot(
+            spark, scorecard(present, stamp, by_rule=True), gold_root, fmt
         )
     return {model.SCORECARD_TABLE: 0} | together(jobs)

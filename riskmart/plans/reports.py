@@ -15,6 +15,16 @@ from riskmart.operators.rollups import top_rwa
 PAIR = ("source", "dimension")
 
 
+def key_of(card: DataFrame) -> list[str]:
+    """What a row measures: source and dimension, and the rule where the card tells it."""
+    return [*PAIR, *(["rule"] if "rule" in card.columns else [])]
+
+
+def without_rules(card: DataFrame) -> DataFrame:
+    """The card in its six fixed columns."""
+    return card.drop("rule")
+
+
 def _one_row(df: DataFrame, *aggregates: Column) -> DataFrame:
     """A global aggregate, marked for broadcast: one row whatever the input."""
     return F.broadcast(df.agg(*aggregates))
@@ -23,20 +33,21 @@ def _one_row(df: DataFrame, *aggregates: Column) -> DataFrame:
 def latest_snapshot(card: DataFrame) -> DataFrame:
     """The rows of the latest snapshot."""
     newest = _one_row(card, F.max("snapshot_ts").alias("snapshot_ts"))
-    return card.join(newest, "snapshot_ts", "left_semi").orderBy(*PAIR)
+    return card.join(newest, "snapshot_ts", "left_semi").orderBy(*key_of(card))
 
 
 def latest_per_pair(card: DataFrame) -> DataFrame:
-    """The latest row of each source and dimension, whichever snapshot it comes from."""
-    rows = latest_per_group(card, PAIR, "snapshot_ts")
+    """The latest row of each source, dimension and rule, whichever snapshot it comes from."""
+    key = key_of(card)
+    rows = latest_per_group(card, key, "snapshot_ts")
     return rows.select(
-        *PAIR, F.round("score", 4).alias("score"), "sample_size", "failed_count", "snapshot_ts"
+        *key, F.round("score", 4).alias("score"), "sample_size", "failed_count", "snapshot_ts"
     )
 
 
 def recent(card: DataFrame, n: int = 12) -> DataFrame:
     """The first ``n`` rows, newest snapshot first."""
-    return card.orderBy(F.col("snapshot_ts").desc(), *PAIR).limit(n)
+    return card.orderBy(F.col("snapshot_ts").desc(), *key_of(card)).limit(n)
 
 
 def trend(card: DataFrame) -> DataFrame:
@@ -61,10 +72,7 @@ def snapshots(card: DataFrame) -> DataFrame:
 def drift_pivot(card: DataFrame) -> DataFrame:
     """Earliest snapshot beside the best of all later ones, per source and dimension."""
     first = _one_row(card, F.min("snapshot_ts").alias("first_ts"))
-    times = card.select("snapshot_ts").distinct()
-    labelled = card.join(times, "snapshot_ts").join(
-        first, F.col("snapshot_ts") == F.col("first_ts"), "left"
-    )
+    labelled = card.join(first, F.col("snapshot_ts") == F.col("first_ts"), "left")
     is_first = F.col("first_ts").isNotNull()
 
     def side(cond: Column, value: Column, name: str) -> Column:
@@ -72,14 +80,14 @@ def drift_pivot(card: DataFrame) -> DataFrame:
 
     score = F.round("score", 4)
     return (
-        labelled.groupBy(*PAIR)
+        labelled.groupBy(*key_of(card))
         .agg(
             side(is_first, score, "t1_clean"),
             side(~is_first, score, "t2_dirty"),
             side(is_first, F.col("failed_count"), "t1_fails"),
             side(~is_first, F.col("failed_count"), "t2_fails"),
         )
-        .orderBy(*PAIR)
+        .orderBy(*key_of(card))
     )
 
 
@@ -96,7 +104,7 @@ def _at(card: DataFrame, when: object, side: str) -> DataFrame:
     else:
         rows = card.filter(F.col("snapshot_ts") == F.lit(when))
     return rows.select(
-        *PAIR,
+        *key_of(card),
         F.col("score").alias(f"{side}_score"),
         F.col("sample_size").alias(f"{side}_sample"),
         F.col("failed_count").alias(f"{side}_failed"),
@@ -104,16 +112,16 @@ def _at(card: DataFrame, when: object, side: str) -> DataFrame:
 
 
 def drift(card: DataFrame, baseline: object = None, current: object = None) -> DataFrame:
-    """Two snapshots matched on source and dimension, either side possibly absent.
+    """Two snapshots matched on source, dimension and rule, either side possibly absent.
 
     Default: earliest against latest; no rows when there is only one snapshot.
     """
     t1, t2 = _at(card, baseline, "t1"), _at(card, current, "t2")
     delta = F.col("t2_score") - F.col("t1_score")
     return (
-        t1.join(t2, list(PAIR), "full")
+        t1.join(t2, key_of(card), "full")
         .select(
-            *PAIR,
+            *key_of(card),
             "t1_score",
             "t2_score",
             delta.alias("delta"),
@@ -124,7 +132,7 @@ def drift(card: DataFrame, baseline: object = None, current: object = None) -> D
             F.coalesce("t2_failed", F.lit(0)).alias("failed_count"),
             F.coalesce("t2_sample", F.lit(0)).alias("sample_size"),
         )
-        .orderBy(*PAIR)
+        .orderBy(*key_of(card))
     )
 
 

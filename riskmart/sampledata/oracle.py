@@ -284,17 +284,18 @@ def _euro(x: str) -> str:
     )
 
 
-def _drift(t1: str, t2: str) -> str:
+def _drift(t1: str, t2: str, by_rule: bool = False) -> str:
+    rule, same = ("coalesce(t1.rule, t2.rule) AS rule, ", " AND t1.rule = t2.rule") if by_rule else ("", "")
     pct = "CAST(CAST(round((t2.score - t1.score) * 100, 1) AS DECIMAL(18,1)) AS VARCHAR)"
     return f"""
-SELECT coalesce(t1.source, t2.source) AS source, coalesce(t1.dimension, t2.dimension) AS dimension,
+SELECT coalesce(t1.source, t2.source) AS source, coalesce(t1.dimension, t2.dimension) AS dimension, {rule}
        t1.score AS t1_score, t2.score AS t2_score, round(t2.score - t1.score, 9) AS delta,
        {_percent("t1.score")} AS t1_text, {_percent("t2.score")} AS t2_text,
        CASE WHEN t1.score IS NULL OR t2.score IS NULL OR t1.score = t2.score THEN '—'
             WHEN t2.score > t1.score THEN '+' || {pct} || ' pp' ELSE {pct} || ' pp' END AS delta_text,
        coalesce({SEVERITY.format("t2.score")}, 'good') AS severity,
        coalesce(t2.failed_count, 0) AS failed_count, coalesce(t2.sample_size, 0) AS sample_size
-FROM ({t1}) t1 FULL JOIN ({t2}) t2 ON t1.source = t2.source AND t1.dimension = t2.dimension"""
+FROM ({t1}) t1 FULL JOIN ({t2}) t2 ON t1.source = t2.source AND t1.dimension = t2.dimension{same}"""
 
 
 def _segment(group: str) -> str:
@@ -303,6 +304,27 @@ def _segment(group: str) -> str:
     )
 
 
+def _many_rules(ex: str, cl: str) -> str:
+    """Four measures, two of them of one dimension and source."""
+    outside = "{0} IS NULL OR {0} < {1} OR {0} > {2}"
+    return " UNION ALL ".join(
+        [
+            _row("exposure", "accuracy", "in_range:risk_weight", _share(ex, outside.format("risk_weight", 0, 1))),
+            _row("exposure", "accuracy", "in_range:internal_rating", _share(ex, outside.format("internal_rating", 1, 10))),
+            _row("collateral", "accuracy", "in_range:haircut_pct", _share(cl, outside.format("haircut_pct", 0, 0.05))),
+            _row("collateral", "integrity", "unique:collateral_id", _duplicates(cl, "collateral_id")),
+        ]
+    )
+
+
+ODD_EVENTS = "event_type IN ('error', 'signup', 'click')"
+BAD_LINES = f"""
+SELECT CASE WHEN {ODD_EVENTS} THEN 'rejected' ELSE 'landed' END AS outcome, event_type, count(*) AS row_count,
+       0::BIGINT AS unplaced, (SELECT count(*) FROM events WHERE NOT {ODD_EVENTS}) AS logged_rows,
+       (SELECT count(*) FROM events WHERE {ODD_EVENTS}) AS logged_rejects
+FROM events GROUP BY event_type"""
+
+
 def _with(body: str, *extra: str) -> str:
     return f"WITH {', '.join([BASE, *extra])} {body}"
 
@@ -521,6 +543,38 @@ FROM orders""",
     "ingest_rejects": """
 SELECT CASE WHEN event_type IN ('error', 'signup', 'click') THEN 'rejected' ELSE 'accepted' END AS outcome,
        event_type, count(*) AS row_count FROM events GROUP BY event_type""",
+    "ingest_bad_lines": BAD_LINES,
+    "stream_bad_lines": BAD_LINES,
+    "ingest_batch_sizes": _with(
+        "SELECT n AS files_per_batch, count(*) AS row_count, "
+        "CAST(sum(CAST(value_eur * 2 AS DECIMAL(18,2))) AS DOUBLE) AS total_value "
+        "FROM (SELECT * FROM cl QUALIFY row_number() OVER (PARTITION BY collateral_id "
+        "ORDER BY exposure_id DESC, collateral_type DESC, value_eur DESC) = 1), "
+        "(VALUES (1), (3), (10000)) AS t(n) GROUP BY n"
+    ),
+    "refresh_rwa": _with("SELECT * FROM rwa", RWA),
+    # All rows of the run have one load time.
+    "refresh_scorecard": _with(
+        f"SELECT {SCORE_NAMES} FROM ({_card('cp', 'ex', 'one')})",
+        "same AS (SELECT * REPLACE (TIMESTAMP '2026-01-01 00:00:00' AS silver_loaded_at) FROM cl)",
+        f"one AS ({_latest('same', 'collateral_id', CL_REST)})",
+    ),
+    "scorecard_many_rules": _with(
+        _drift(_many_rules("ex", "cl"), _many_rules("dx", "dl"), by_rule=True), DAMAGED
+    ),
+    "scorecard_rerun": _with(
+        "SELECT snapshot_ts, source, dimension, rule, count(*) AS row_count, max(failed_count) AS failed_count FROM ("
+        f"SELECT TIMESTAMP '2026-01-31 00:00:00' AS snapshot_ts, * FROM ({_many_rules('ex', 'cl')}) "
+        f"UNION ALL SELECT TIMESTAMP '2026-02-28 00:00:00', * FROM ({_many_rules('dx', 'dl')})) GROUP BY ALL",
+        DAMAGED,
+    ),
+    "snapshot_average": HISTORY
+    + f"SELECT snapshot_ts, round(avg(score), 9) AS avg_score, {SEVERITY.format('avg(score)')} AS severity "
+    "FROM hist GROUP BY snapshot_ts",
+    "average_of_dimension": HISTORY
+    + f"SELECT snapshot_ts, round(m, 9) AS avg_score, {SEVERITY.format('m')} AS severity FROM (SELECT snapshot_ts, "
+    "coalesce(avg(score) FILTER (WHERE dimension = 'accuracy' AND year(snapshot_ts) < 2000), 1.0) AS m "
+    "FROM hist GROUP BY snapshot_ts)",
     "stream_landing": """
 SELECT event_type, count(*) AS row_count, count(DISTINCT props) AS props_count,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,

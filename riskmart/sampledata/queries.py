@@ -352,6 +352,62 @@ def overall_average(spark, sf_dir):
     return out.withColumn("avg_score", F.round("avg_score", 9))
 
 
+@query
+def snapshot_average(spark, sf_dir):
+    out = reports.snapshot_averages(_history(spark, sf_dir))
+    return out.withColumn("avg_score", F.round("avg_score", 9))
+
+
+@query
+def average_of_dimension(spark, sf_dir):
+    """Accuracy per snapshot; where it was not measured the average is 1."""
+    card = _history(spark, sf_dir).filter(
+        (F.col("dimension") != "accuracy") | (F.year("snapshot_ts") < 2000)
+    )
+    out = reports.snapshot_averages(card, "accuracy")
+    return out.withColumn("avg_score", F.round("avg_score", 9))
+
+
+# Two rules of one dimension for one source.
+MANY_RULES = {
+    "exposure": (R.InRange("risk_weight", 0.0, 1.0), R.InRange("internal_rating", 1, 10)),
+    "collateral": (R.InRange("haircut_pct", 0.0, 0.05), R.Unique(("collateral_id",))),
+}
+
+
+def _two_snapshots(spark, sf_dir, times: int) -> DataFrame:
+    """Clean and damaged tables under two snapshot times, each appended ``times`` times."""
+    root = scratch_dir(spark, "rules")
+    clean = _sources(spark, sf_dir)
+    damaged = clean | {
+        "exposure": _damaged_exposure(spark, sf_dir),
+        "collateral": _damaged_collateral(spark, sf_dir),
+    }
+    for day, sources in (("2026-01-31", clean), ("2026-02-28", damaged)):
+        card = marts.scorecard(
+            sources, F.lit(f"{day} 00:00:00").cast("timestamp_ntz"), MANY_RULES, by_rule=True
+        )
+        for _ in range(times):
+            marts.append_snapshot(spark, card, root)
+    return tables.read_table(spark, root, model.SCORECARD_TABLE)
+
+
+@query
+def scorecard_many_rules(spark, sf_dir):
+    """One drift row per rule, also where a dimension has several."""
+    out = reports.drift(_two_snapshots(spark, sf_dir, 1))
+    return out.withColumn("delta", F.round("delta", 9))
+
+
+@query
+def scorecard_rerun(spark, sf_dir):
+    """A snapshot appended twice is there once."""
+    card = _two_snapshots(spark, sf_dir, 2)
+    return card.groupBy("snapshot_ts", "source", "dimension", "rule").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("failed_count").alias("failed_count")
+    )
+
+
 @query
 def score_display(spark, sf_dir):
     score = F.col("score")
@@ -718,6 +774,84 @@ def ingest_rejects(spark, sf_dir):
     return both.groupBy("outcome", "event_type").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+HEADER = "event_id,user_id,event_type,value"
+
+
+def _write_odd_lines(spark, sf_dir, folder) -> None:
+    """Events as CSV with lines that have a field too many or too few, or an open quote."""
+    kind, value = F.col("event_type"), F.col("value").cast("string")
+    fields = F.concat_ws(",", F.col("event_id").cast("string"), F.col("user_id").cast("string"), kind)
+    line = (
+        F.when(kind == "click", fields)
+        .when(kind == "error", F.concat(fields, F.lit(","), value, F.lit(",surplus")))
+        .when(kind == "signup", F.concat(fields, F.lit(',"'), value))
+        .otherwise(F.concat(fields, F.lit(',"'), value, F.lit('"')))
+    )
+    rows = views.table(spark, sf_dir, "events").select(line.alias(HEADER))
+    rows.write.options(header="true", sep="\u0001", quote="\u0000", escape="\u0000").csv(folder)
+
+
+def _outcomes(spark, root) -> DataFrame:
+    """Landed and rejected lines by event type, beside what the log says of them."""
+    landed = landing.read_landed(spark, root, "events").select(
+        F.lit("landed").alias("outcome"), "event_type", F.lit(0).cast("bigint").alias("line_number")
+    )
+    rejects = landing.read_rejects(spark, root).select(
+        F.lit("rejected").alias("outcome"), F.element_at(F.split("line", ","), 3).alias("event_type"), "line_number"
+    )
+    log = landing.read_log(spark, root).agg(
+        F.sum("row_count").alias("logged_rows"), F.sum("reject_count").alias("logged_rejects")
+    )
+    return (
+        landed.unionByName(rejects)
+        .groupBy("outcome", "event_type")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("line_number").isNull()).alias("unplaced"))
+        .crossJoin(F.broadcast(log))  # one row
+    )
+
+
+@query
+def ingest_bad_lines(spark, sf_dir):
+    """Malformed lines are set aside whole; nothing is cut, padded or lost."""
+    base = scratch_dir(spark, "bad-lines")
+    _write_odd_lines(spark, sf_dir, f"{base}/in/events")
+    landing.land(spark, f"{base}/in", f"{base}/bronze", layout="folders")
+    return _outcomes(spark, f"{base}/bronze")
+
+
+@query
+def stream_bad_lines(spark, sf_dir):
+    """The same lines through the file stream."""
+    base = scratch_dir(spark, "bad-lines")
+    _write_odd_lines(spark, sf_dir, f"{base}/in")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in HEADER.split(",")])
+    land_stream(spark, f"{base}/in", f"{base}/bronze", "events", schema)
+    return _outcomes(spark, f"{base}/bronze")
+
+
+@query
+def ingest_batch_sizes(spark, sf_dir):
+    """Two versions of every row in one run: which one stays doesn't depend on batches."""
+    base = scratch_dir(spark, "batch-sizes")
+    rows = views.collateral(spark, sf_dir)
+    both = rows.unionByName(rows.withColumn("value_eur", F.col("value_eur") * 2))
+    text = views.as_text(both, "collateral").repartition(4)
+    files.write_csv(text, f"{base}/in/collateral", list(model.COLUMNS["collateral"]))
+    parts = []
+    for n in (1, 3, 10_000):
+        root = f"{base}/bronze-{n}"
+        landing.land(spark, f"{base}/in", root, layout="folders", files_per_batch=n)
+        landed = landing.read_landed(spark, root, "collateral")
+        silver = conform.conform(landed, model.table_spec("collateral"))
+        parts.append(
+            silver.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.sum(F.col("value_eur").cast("decimal(18,2)")).cast("double").alias("total_value"),
+            ).select(F.lit(n).alias("files_per_batch"), "row_count", "total_value")
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def stream_landing(spark, sf_dir):
     """Events as text files through the file stream, twice; the second run finds nothing."""
@@ -747,6 +881,25 @@ def refresh_layers(spark, sf_dir):
     return spark.createDataFrame(rows, "layer string, table_name string, row_count bigint")
 
 
+def _refreshed(spark, sf_dir, table) -> DataFrame:
+    base = scratch_dir(spark, "refresh")
+    _write_sources(spark, sf_dir, f"{base}/in")
+    refresh(spark, f"{base}/in", f"{base}/lake", layout="folders")
+    return tables.read_table(spark, f"{base}/lake/gold", table)
+
+
+@query
+def refresh_rwa(spark, sf_dir):
+    """The rollup that the job has written."""
+    return _refreshed(spark, sf_dir, model.RWA_TABLE)
+
+
+@query
+def refresh_scorecard(spark, sf_dir):
+    """The scorecard that the job has written."""
+    return reports.without_rules(_refreshed(spark, sf_dir, model.SCORECARD_TABLE)).drop("snapshot_ts")
+
+
 @query
 def catalog_tables(spark, sf_dir):
     """Files registered under catalog names (twice, which changes nothing), then read by name."""

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+FILE = "_source_name"
 
 # Quotes inside a quoted field are doubled, as usual in CSV; a backslash is plain text.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
@@ -116,6 +117,98 @@ def read_text_csv(
     return reader.option("enforceSchema", "false").schema(text).csv(paths)
 
 
+# A line as it is: no separator, quote or escape takes effect; the reader still drops headers.
+RAW_OPTIONS = {"header": "true", "sep": "\u0001", "quote": "\u0000", "escape": "\u0000"}
+PARSE_OPTIONS = {
+    "quote": CSV_OPTIONS["quote"],
+    "escape": CSV_OPTIONS["escape"],
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+}
+PATH = "_source_path"
+
+
+def _checked_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, list[str]]:
+    """The first line of a file, as it is and as column names."""
+    raw = spark.read.options(**RAW_OPTIONS).csv(_as_is(path)).columns
+    return raw[0] if raw else "", spark.read.options(**CSV_OPTIONS).csv(_as_is(path)).columns
+
+
+def parse_lines(lines: DataFrame, names: Sequence[str], line: str) -> DataFrame:
+    """Raw lines as text columns; ``CORRUPT`` holds a line that is not one whole record.
+
+    A line is set aside when it has too few or too many fields, and when a quote in it is left
+    open: it then is a piece of a record with a line break, or damaged.
+    """
+    parsed = F.from_csv(F.col("_line"), _ddl(_checked_schema(names)), PARSE_OPTIONS)
+    quotes = F.length("_line") - F.length(F.replace(F.col("_line"), F.lit(CSV_OPTIONS["quote"]), F.lit("")))
+    rows = lines.select(
+        F.col("`" + line.replace("`", "``") + "`").alias("_line"),
+        F.expr(FILE_NAME).alias(FILE),
+        F.col("_metadata.file_path").alias(PATH),
+    ).withColumn("_row", parsed)
+    corrupt = F.when(quotes % 2 == 1, F.col("_line")).otherwise(F.col(f"_row.{CORRUPT}"))
+    fields = [F.col("_row.`" + n.replace("`", "``") + "`").alias(n) for n in names]
+    return rows.select(*fields, corrupt.alias(CORRUPT), FILE, PATH)
+
+
+def read_checked_csv(
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False
+) -> DataFrame:
+    """All columns as text, the line itself in ``CORRUPT`` where it is malformed, file and path.
+
+    Files read together must share their header line. ``multi_line`` allows line breaks inside
+    quoted fields at the price of one task per file.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw, names = header_of(spark, paths[0])
+    plain = [_as_is(p) for p in paths]
+    if multi_line:
+        reader = spark.read.options(**CSV_OPTIONS, **{k: PARSE_OPTIONS[k] for k in ("mode", "columnNameOfCorruptRecord")})
+        # Without pruning every record is parsed whole, whatever columns are asked for.
+        reader = reader.options(multiLine="true", enforceSchema="false", columnPruning="false")
+        rows = reader.schema(_checked_schema(names)).csv(plain)
+        return rows.select(*rows.columns, F.expr(FILE_NAME).alias(FILE), F.col("_metadata.file_path").alias(PATH))
+    if not names:
+        raise ValueError(f"no header in {paths[0]}")
+    reader = spark.read.options(**RAW_OPTIONS).option("enforceSchema", "false")
+    lines = reader.schema(T.StructType([T.StructField(raw, T.StringType())])).csv(plain)
+    return parse_lines(lines, names, raw)
+
+
+def numbered(spark: SparkSession, paths: Sequence[str], lines: DataFrame) -> DataFrame:
+    """``lines`` (file, line) with their line numbers in the files, counted from 1.
+
+    Equal lines of a file share their verdict, so that each is found at all its places. A record
+    of several lines has no number.
+    """
+    text = spark.read.text([_as_is(p) for p in paths]).select(
+        F.expr(FILE_NAME).alias("n_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        F.col("value").alias("n_line"),
+    )
+    blocks = text.groupBy("n_file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("n_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        F.col("n_file").alias("b_file"), F.col("block").alias("b_block"), "first",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+    )
+    wanted = lines.select(F.col(FILE).alias("w_file"), F.col(CORRUPT).alias("w_line")).distinct()
+    found = text.join(wanted, (F.col("n_file") == F.col("w_file")) & (F.col("n_line") == F.col("w_line")), "left_semi")
+    found = found.join(blocks, (F.col("n_file") == F.col("b_file")) & (F.col("block") == F.col("b_block")))
+    number = F.col("before") + F.col("id") - F.col("first") + 1
+    single = found.select(F.col("n_file").alias(FILE), number.alias("line_number"), F.col("n_line").alias("line"))
+    several = lines.filter(F.contains(F.col(CORRUPT), F.lit("\n"))).select(
+        FILE, F.lit(None).cast("bigint").alias("line_number"), F.col(CORRUPT).alias("line")
+    )
+    return single.unionByName(several)
+
+
 def read_strict_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A reader that stops at the first malformed line and names its file."""
     return (
@@ -152,7 +245,7 @@ def read_with_rejects(
 
 
 def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return ", ".join("`" + f.name.replace("`", "``") + f"` {f.dataType.simpleString()}" for f in schema)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], mode: str = "overwrite") -> None:
