@@ -41,18 +41,25 @@ def merge_latest(
 ) -> DataFrame:
     """``keep_latest(current + changes)`` for a large, already unique ``current``.
 
-    Only rows whose key occurs in ``changes`` are ranked; the others pass through with one
-    anti join, which Spark broadcasts when the changed keys are few.
+    Only the changes are ranked. Both sides then have one row per key, so one full join, in
+    which no key is hot, sets each row beside its successor; ``current`` is read once.
     """
-    key = list(key)
+    key, columns = list(key), current.columns
     if not key:
         raise ValueError("a key column is needed")
-    changes = changes.select(*current.columns)
-    touched = changes.select(*[F.col(c).alias(f"_t_{c}") for c in key]).distinct()
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in key])
-    untouched = current.join(touched, same, "left_anti")
-    contested = current.join(touched, same, "left_semi").unionByName(changes)
-    return untouched.unionByName(keep_latest(contested, key, order_by))
+    newest = keep_latest(changes.select(*columns), key, order_by)
+    order = [order_by, *[c for c in columns if c not in key and c != order_by]]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        keys = [F.col(k).alias(f"{name}_key{i}") for i, k in enumerate(key)]
+        return df.select(F.struct(*columns).alias(name), *keys)
+
+    same = [F.col(f"_old_key{i}").eqNullSafe(F.col(f"_new_key{i}")) for i in range(len(key))]
+    joined = side(current, "_old").join(side(newest, "_new"), reduce(and_, same), "full")
+    # Structs compare field by field, null lowest, as the ranking of ``keep_latest`` does.
+    rank = {n: F.struct(*[F.col(n)[c] for c in order]) for n in ("_old", "_new")}
+    newer = F.col("_old").isNull() | (F.col("_new").isNotNull() & (rank["_new"] > rank["_old"]))
+    return joined.select(F.when(newer, F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
 
 
 def latest_per_group(df: DataFrame, groups: Sequence[str], order_by: str) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from riskmart.plans.conform import build_silver
+from riskmart.plans.conform import update_silver
 from riskmart.plans.marts import build_gold
 from riskmart.sources.landing import land
 from riskmart.sources.tables import FORMAT
@@ -20,10 +20,10 @@ def refresh(
     fmt: str = FORMAT,
     **land_options,
 ) -> dict[str, dict[str, int]]:
-    """Land new files, rebuild the conformed tables, update the marts; rows per layer and table."""
+    """Land new files, bring conformed tables and marts up to them; rows per layer and table."""
     root = root.rstrip("/")
     return {
         "bronze": land(spark, source_dir, f"{root}/bronze", **land_options),
-        "silver": build_silver(spark, f"{root}/bronze", f"{root}/silver", fmt=fmt),
+        "silver": update_silver(spark, f"{root}/bronze", f"{root}/silver", fmt=fmt),
         "gold": build_gold(spark, f"{root}/silver", f"{root}/gold", snapshot_ts, fmt),
     }

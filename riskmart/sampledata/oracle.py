@@ -552,6 +552,15 @@ SELECT CASE WHEN event_type IN ('error', 'signup', 'click') THEN 'rejected' ELSE
         "ORDER BY exposure_id DESC, collateral_type DESC, value_eur DESC) = 1), "
         "(VALUES (1), (3), (10000)) AS t(n) GROUP BY n"
     ),
+    "refresh_twice": _with(
+        "SELECT way, collateral_type, count(*) AS row_count, "
+        "CAST(sum(CAST(value_eur AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM ("
+        "SELECT * FROM (SELECT *, 1 AS run FROM cl UNION ALL "
+        "SELECT * REPLACE (value_eur + 1 AS value_eur), 2 FROM cl WHERE collateral_id[-1] IN ('1', '3')) "
+        "QUALIFY row_number() OVER (PARTITION BY collateral_id "
+        "ORDER BY run DESC, exposure_id DESC, collateral_type DESC, value_eur DESC) = 1"
+        "), (VALUES ('merged'), ('rebuilt')) AS w(way) GROUP BY way, collateral_type"
+    ),
     "refresh_rwa": _with("SELECT * FROM rwa", RWA),
     # All rows of the run have one load time.
     "refresh_scorecard": _with(

@@ -900,6 +900,28 @@ def refresh_scorecard(spark, sf_dir):
     return reports.without_rules(_refreshed(spark, sf_dir, model.SCORECARD_TABLE)).drop("snapshot_ts")
 
 
+@query
+def refresh_twice(spark, sf_dir):
+    """A second delivery merged into the first one equals a rebuild from both."""
+    base = scratch_dir(spark, "twice")
+    rows = views.collateral(spark, sf_dir)
+    odd = F.substring("collateral_id", -1, 1).isin("1", "3")
+    deliveries = {"first": rows, "second": rows.filter(odd).withColumn("value_eur", F.col("value_eur") + 1)}
+    for name, part in deliveries.items():
+        text = views.as_text(part, "collateral")
+        files.write_csv(text, f"{base}/{name}/collateral", list(model.COLUMNS["collateral"]))
+        landing.land(spark, f"{base}/{name}", f"{base}/bronze", layout="folders")
+        conform.update_silver(spark, f"{base}/bronze", f"{base}/silver")
+    conform.build_silver(spark, f"{base}/bronze", f"{base}/rebuilt")
+    both = [tables.read_table(spark, f"{base}/{r}", "collateral") for r in ("silver", "rebuilt")]
+    merged = both[0].select(F.lit("merged").alias("way"), *both[0].columns)
+    merged = merged.unionByName(both[1].select(F.lit("rebuilt").alias("way"), *both[1].columns))
+    return merged.groupBy("way", "collateral_type").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.col("value_eur").cast("decimal(18,2)")).cast("double").alias("total_value"),
+    )
+
+
 @query
 def catalog_tables(spark, sf_dir):
     """Files registered under catalog names (twice, which changes nothing), then read by name."""

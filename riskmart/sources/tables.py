@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.sources.files import path_exists
+from riskmart.sources.files import _locate, path_exists
 
 FORMAT = "parquet"
 LAYERS = ("bronze", "silver", "gold")
@@ -49,6 +49,27 @@ def write_table(
     return rows
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    fs, where = _locate(spark, path)
+    fs.delete(where, True)
+
+
+def replace_table(spark: SparkSession, from_root: str, root: str, name: str) -> None:
+    """Put a finished table in the place of another by two renames; readers see either one.
+
+    Between the renames the table is missing for a moment, unless the format keeps versions.
+    """
+    fs, new = _locate(spark, table_path(from_root, name))
+    place = _locate(spark, table_path(root, name))[1]
+    old = _locate(spark, table_path(from_root, f"{name}-replaced"))[1]
+    fs.mkdirs(place.getParent())
+    if fs.exists(place) and not fs.rename(place, old):
+        raise OSError(f"cannot move {place} aside")
+    if not fs.rename(new, place):
+        raise OSError(f"cannot put {new} in place of {place}")
+    fs.delete(old, True)
+
+
 def write_bucketed(
     df: DataFrame,
     database: str,

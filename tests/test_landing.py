@@ -201,3 +201,83 @@ def test_csv_writer_keeps_column_order(spark, tmp_path):
     assert part.read_text().splitlines() == ["m,z,a", ',1,"say ""hi"""']
     back = files.read_text_csv(spark, str(out))
     assert tuple(back.first()) == (None, "1", 'say "hi"')
+
+
+BROKEN = 'id,v\n1,a\n2\n3,a,b\n4,"x\ny"\n5,"ok"\n2\n6,say "hi"\n'
+
+
+def test_malformed_lines_are_set_aside_with_their_place(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.csv").write_text(BROKEN)
+    root = str(tmp_path / "bronze")
+    assert landing.land(spark, str(tmp_path / "in"), root) == {"t": 3}
+    rows = sorted((r.id, r.v) for r in landing.read_landed(spark, root, "t").collect())
+    assert rows == [("1", "a"), ("5", "ok"), ("6", 'say "hi"')]
+    aside = sorted((r.line_number, r.line, r.source_file) for r in landing.read_rejects(spark, root).collect())
+    assert aside == [(3, "2", "t.csv"), (4, "3,a,b", "t.csv"), (5, '4,"x', "t.csv"), (6, 'y"', "t.csv"), (8, "2", "t.csv")]
+    (entry,) = landing.read_log(spark, root).collect()
+    assert (entry.row_count, entry.reject_count) == (3, 5)
+
+
+def test_malformed_lines_can_stop_the_run(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.csv").write_text(BROKEN)
+    root = str(tmp_path / "bronze")
+    with pytest.raises(ValueError, match=r"t\.csv, line 3: malformed: '2'"):
+        landing.land(spark, str(tmp_path / "in"), root, on_bad_line="fail")
+    with pytest.raises(FileNotFoundError):
+        landing.read_landed(spark, root, "t")
+    with pytest.raises(ValueError, match="on_bad_line"):
+        landing.land(spark, str(tmp_path / "in"), root, on_bad_line="skip")
+
+
+def test_a_file_of_only_malformed_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.csv").write_text("id,v\n1\n")
+    root = str(tmp_path / "bronze")
+    assert landing.land(spark, str(tmp_path / "in"), root) == {"t": 0}
+    (entry,) = landing.read_log(spark, root).collect()
+    assert (entry.row_count, entry.reject_count) == (0, 1) and entry.ingest_ts is not None
+    assert landing.land(spark, str(tmp_path / "in"), root) == {"t": 0}
+
+
+def test_multi_line_sets_aside_what_stays_malformed(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.csv").write_text('id,v\n1,"x\ny"\n2\n')
+    root = str(tmp_path / "bronze")
+    assert landing.land(spark, str(tmp_path / "in"), root, multi_line=True) == {"t": 1}
+    assert [(r.line_number, r.line) for r in landing.read_rejects(spark, root).collect()] == [(4, "2")]
+
+
+def test_a_data_line_like_the_header_is_data(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.csv").write_text('"id",v\nid,v\n"id",v\n')
+    root = str(tmp_path / "bronze")
+    assert landing.land(spark, str(tmp_path / "in"), root) == {"t": 2}
+
+
+def test_batch_size_does_not_decide_which_row_stays(spark, tmp_path):
+    from riskmart import model
+    from riskmart.plans import conform
+
+    folder = tmp_path / "in" / "exposure"
+    folder.mkdir(parents=True)
+    header = ",".join(model.COLUMNS["exposure"])
+    for i in range(6):
+        line = f"E1,L,LOAN,{100 * (i % 4)},2026-03-31,2027-03-31,1.0,STAGE_1,1"
+        (folder / f"f{i}.csv").write_text(f"{header}\n{line}\n")
+    kept = set()
+    for n in (1, 3, 10_000):
+        root = str(tmp_path / f"bronze{n}")
+        landing.land(spark, str(tmp_path / "in"), root, layout="folders", files_per_batch=n)
+        landed = landing.read_landed(spark, root, "exposure")
+        assert landed.select(INGEST_TS).distinct().count() == 1
+        kept.add(conform.conform(landed, model.table_spec("exposure")).first().amount_eur)
+    assert kept == {300.0}
+
+
+def test_what_a_dead_first_batch_left_is_not_read(spark, tmp_path):
+    left = tmp_path / "bronze" / "t" / "_ingest_batch=0" / "_temporary"
+    left.mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        landing.read_landed(spark, str(tmp_path / "bronze"), "t")

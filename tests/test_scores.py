@@ -242,3 +242,29 @@ def test_random_tables_match_a_row_by_row_count(spark, seed):
     expected = plain_scores(rows, 0, 1, 90)
     assert [(r.sample_size, r.failed_count) for r in scored] == expected
     assert [r.score for r in scored] == [1.0 - f / n for n, f in expected]
+
+
+def test_literals_keep_their_type(spark):
+    from datetime import datetime
+    from decimal import Decimal
+
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, datetime(2026, 1, 2, 3, 4, 5), Decimal("1.10"))], "n bigint, t timestamp_ntz, d decimal(10,2)")
+    assert R.failing_rows(df, R.OneOf("n", (big - 1,))).count() == 1
+    assert R.failing_rows(df, R.OneOf("n", (big,))).count() == 0
+    assert R.failing_rows(df, R.OneOf("t", (datetime(2026, 1, 2, 3, 4, 5),))).count() == 0
+    assert R.failing_rows(df, R.OneOf("d", (Decimal("1.10"),))).count() == 0
+
+
+def test_names_are_found_as_the_session_finds_them(spark):
+    df = spark.createDataFrame([(5.0,)], "Amount_EUR double")
+    assert R.failing_rows(df, R.Positive("amount_eur")).count() == 0
+    assert scoring.completeness(df, ["amount_eur"], "s").first().score == 1.0
+
+
+def test_text_dates_never_stop_the_score(spark):
+    df = spark.createDataFrame([("2026-03-31",), ("2026-01-01",), ("31/03/2026",), ("",), (None,)], "day string")
+    anchored = scoring.score_table(df, "s", [R.Timely("day", 10)]).first()
+    assert (anchored.sample_size, anchored.failed_count) == (2, 1)
+    expected = scoring.timeliness(df, "day", date(2026, 3, 31), 10, "s").first()
+    assert (expected.sample_size, expected.failed_count) == (2, 1)
