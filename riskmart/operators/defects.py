@@ -81,6 +81,11 @@ def damage_collateral(
         "exposure_id AS _exposure_id", "amount_eur AS _amount", "as_of_date AS _as_of"
     )
     marked = collateral.selectExpr("*", f"{defect} AS _defect")
-    return marked.join(facts, F.expr("exposure_id = _exposure_id"), "left").selectExpr(
+    # Only the rows of these two defects are joined; the others pass by the shuffle.
+    needs_facts = F.coalesce(F.col("_defect").isin(*COLLATERAL_DEFECTS[1:]), F.lit(False))
+    joined = marked.filter(needs_facts).join(facts, F.expr("exposure_id = _exposure_id"), "left")
+    plain = marked.filter(~needs_facts).selectExpr("*", "NULL AS _amount", "NULL AS _as_of")
+    both = joined.drop("_exposure_id").unionByName(plain)
+    return both.selectExpr(
         *[f"{changed[c]} AS {c}" if c in changed else f"`{c}`" for c in collateral.columns]
     )

@@ -531,14 +531,14 @@ def business_rules(spark, sf_dir):
     parts = {
         "counterparty": views.counterparty(spark, sf_dir),
         "exposure": _damaged_exposure(spark, sf_dir),
-        "collateral": _damaged_collateral(spark, sf_dir),
     }
-    scored = [scoring.score_table(parts[s], s, r) for s, r in model.BUSINESS_RULES.items()]
-    scored.append(scoring.score_table(_linked(spark, sf_dir), "collateral_link", LINK_RULES))
-    out = scored[0]
-    for part in scored[1:]:
-        out = out.unionByName(part)
-    return out
+    counterparty, exposure = [scoring.score_table(df, s, model.BUSINESS_RULES[s]) for s, df in parts.items()]
+    # Row rules and link rules in one pass over the collateral beside its exposures.
+    both = (*model.BUSINESS_RULES["collateral"], *LINK_RULES)
+    collateral = scoring.score_table(_linked(spark, sf_dir), "collateral", both)
+    is_link = F.col("rule").isin(*[r.label for r in LINK_RULES])
+    named = F.when(is_link, "collateral_link").otherwise(F.col("source"))
+    return counterparty.unionByName(exposure).unionByName(collateral.withColumn("source", named))
 
 
 def _failing_exposures(spark, sf_dir, rule):

@@ -46,7 +46,7 @@ def test_hot_rows_are_spread(spark, child, parent):
         for c, v in zip(before, ("false", "-1", "32"), strict=True):
             spark.conf.set(c, v)
         plain = largest_task(references.with_parent(child, parent, "key", ["size"]))
-        spread = largest_task(skew.spread_lookup(child, parent, "key", ["size"], share=0.1))
+        spread = largest_task(skew.spread_lookup(child, parent, "key", ["size"], share=0.1, rows_per_task=100))
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
