@@ -75,8 +75,10 @@ def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = {"words-1": rollup.VERSIONS["words-1"]}
     rollup.insert(docs, state, "load", versions=first)
     rollup.insert(docs, state, "load-runs", versions={"runs-1": rollup.VERSIONS["runs-1"]})
-    poor = docs.join(labels.filter("quality = 0").select("doc_id"), "doc_id", "left_semi")
-    rollup.revise(poor.withColumn("text", F.regexp_replace("text", "[0-9]+", " ")), state, "revise", first)
+    poor = labels.filter("quality = 0").select(F.col("doc_id").alias("poor_id")).distinct()
+    # Joined as counts: an inner join with distinct ids stays above the counting, so no text moves.
+    again = rollup.counted(docs.withColumn("text", F.regexp_replace("text", "[0-9]+", " ")), first)
+    rollup.revise(again.join(poor, F.col("doc_id") == F.col("poor_id")).drop("poor_id"), state, "revise")
     toxic = labels.filter("toxic = 1").select("doc_id")
     rollup.delete(toxic, state, "delete")
     rollup.delete(toxic, state, "delete")  # a replayed batch changes nothing

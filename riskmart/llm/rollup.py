@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import empty_as, fresh_name, quoted, ship
+from riskmart.llm.common import empty_as, fresh_name, quoted, ship, written
 from riskmart.llm.tokens import encoder
 from riskmart.sources.files import _locate, path_exists
 
@@ -136,15 +136,16 @@ def delete(ids: DataFrame, state: str, batch_id: str) -> bool:
     return commit(taken_back(current(ids.sparkSession, state, ids)), state, batch_id)
 
 
-def revise(docs: DataFrame, state: str, batch_id: str, versions: Mapping[str, Callable[[Column], Column]] = VERSIONS,
-           **names) -> bool:
-    """Replace the counts of the documents given, in the versions given, if they stand."""
-    spark = docs.sparkSession
-    new = counted(docs, versions, **names)
-    old = current(spark, state, docs, names.get("doc_id", "doc_id")).filter(F.col("tokenizer").isin(*versions))
-    known = old.select(F.col("doc_id").alias("o_id"), F.col("tokenizer").alias("o_tokenizer")).distinct()
-    again = new.join(known, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("tokenizer") == F.col("o_tokenizer")), "left_semi")
-    return commit(taken_back(old).unionByName(again), state, batch_id)
+def revise(new: DataFrame, state: str, batch_id: str) -> bool:
+    """Replace counts by those of ``new`` (rows of ``counted``), where the document and version stand."""
+    # Counted once; what is joined from here on has no texts.
+    new = written(new, "rollup-revision")
+    versions = F.broadcast(new.select(F.col("tokenizer").alias("v")).distinct())  # a row per version
+    standing = current(new.sparkSession, state, new).join(versions, F.col("tokenizer") == F.col("v"), "left_semi")
+    known = standing.select(F.col("doc_id").alias("o_id"), F.col("tokenizer").alias("o_tokenizer")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("tokenizer") == F.col("o_tokenizer"))
+    again = new.join(known, same, "left_semi").select("doc_id", *KEYS, "tokens", "sign")
+    return commit(taken_back(standing).unionByName(again), state, batch_id)
 
 
 def totals(spark: SparkSession, state: str) -> DataFrame:
