@@ -193,7 +193,7 @@ def test_neighbours_are_exact_with_a_full_share(spark):
            (2006, [float("inf")] + [1.0] * 7)]
     schema = "vec_id bigint, embedding array<float>, place int, v int"
     vectors = spark.createDataFrame([(*r, 0, 0) for r in rows + odd], schema)
-    hits = neighbours.search(vectors, F.col("vec_id") % 20 == 0, k=5, share=1e9, leaf_rows=50).collect()
+    hits = neighbours.search(vectors, F.col("vec_id") % 20 == 0, k=5, share=1e9).collect()
     wide, found = data.astype(np.float64), defaultdict(list)
     for h in sorted(hits, key=lambda h: h.rank):
         found[h.query_id].append((h.vec_id, h.score))
@@ -233,7 +233,7 @@ def test_rollup_batches(spark):
     assert total() == {}
     assert rollup.insert(docs, state, "a", versions=one) and not rollup.insert(docs, state, "a", versions=one)
     assert total() == {("s", "en"): (2, 6), ("s", None): (1, 2), (None, "en"): (1, 0)}
-    assert rollup.revise(spark.createDataFrame([(2, "now five words in it", "en", "t", 0), (9, "unknown", "en", "t", 0)], schema), state, "b", one)
+    assert rollup.revise(rollup.counted(spark.createDataFrame([(2, "now five words in it", "en", "t", 0), (9, "unknown", "en", "t", 0)], schema), one), state, "b")
     assert total() == {("s", "en"): (2, 6), ("t", "en"): (1, 5), (None, "en"): (1, 0)}
     gone = spark.createDataFrame([(1,), (3,), (77,)], "doc_id bigint")
     assert rollup.delete(gone, state, "c") and rollup.delete(gone, state, "d")
