@@ -172,7 +172,10 @@ def read_checked_csv(
         # Without pruning every record is parsed whole, whatever columns are asked for.
         reader = reader.options(multiLine="true", enforceSchema="false", columnPruning="false")
         rows = reader.schema(_checked_schema(names)).csv(plain)
-        return rows.select(*rows.columns, F.expr(FILE_NAME).alias(FILE), F.col("_metadata.file_path").alias(PATH))
+        fields = [F.col("`" + n.replace("`", "``") + "`") for n in names]
+        # The reader refuses to give malformed records alone; an empty part of a field goes along.
+        line = F.concat(F.col(CORRUPT), F.substring(F.coalesce(fields[0], F.lit("")), 1, 0)).alias(CORRUPT)
+        return rows.select(*fields, line, F.expr(FILE_NAME).alias(FILE), F.col("_metadata.file_path").alias(PATH))
     if not names:
         raise ValueError(f"no header in {paths[0]}")
     reader = spark.read.options(**RAW_OPTIONS).option("enforceSchema", "false")
