@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -62,6 +63,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_table(df, label))
 
 
+def scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Like ``written``, with the folder to be released later."""
+    path = write_table(df, label)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def release(spark: SparkSession, *folders: str) -> None:
+    """Give up scratch folders, and the shuffle files of steps that are over.
+
+    Executors drop shuffle files once the driver's JVM finds their step unreachable, which in a
+    long job may take it until the disks are full.
+    """
+    for folder in folders:
+        drop_folder(spark, folder)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path that Spark has qualified, and the path in it."""
     if uri.startswith("file:"):

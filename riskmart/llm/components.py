@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import written
+from riskmart.llm.common import drop_folder, scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -39,11 +39,12 @@ def _mark(edges: DataFrame) -> tuple:
 def connected(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for every node of ``edges`` (a, b)."""
     now = edges.select(F.col("a").cast("bigint").alias("u"), F.col("b").cast("bigint").alias("v"))
-    now = written(now.filter("u <> v").distinct(), "components")
+    now, folder = scratch(now.filter("u <> v").distinct(), "components")
     seen = _mark(now)
     while seen[0]:
-        now = written(_star(_star(now, True), False), "components")
-        last, seen = seen, _mark(now)
+        now, later = scratch(_star(_star(now, True), False), "components")
+        drop_folder(edges.sparkSession, folder)
+        folder, last, seen = later, seen, _mark(now)
         if seen == last:
             break
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

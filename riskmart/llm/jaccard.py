@@ -1,7 +1,7 @@
 """N-gram Jaccard join by vertical partitioning.
 
 Documents are sets of word shingles. A global order puts rare shingles first; counts for it come
-from all documents, folded into a table of fixed size. Two sets that are alike share a shingle
+from all documents, folded into a table of bounded size. Two sets that are alike share a shingle
 among the first few of this order, so these are the only ones shuffled. The order is cut into
 fragments; a candidate pair's overlap is counted in each fragment separately and summed.
 
@@ -26,25 +26,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import empty_as, pieces, quoted, records, ship, written
+from riskmart.llm.common import empty_as, pieces, quoted, records, release, scratch, ship, written
 from riskmart.llm.components import connected
 from riskmart.llm.shingles import shingle_sets
 
 SIZE, NUM, DEN = 5, 4, 5
 
-# Cells of the count table, and fragments of the order.
-SKETCH_BITS = 18
+# The count table has a cell for so many shingles of the corpus, up to a size that can be broadcast:
+# a shingle rarer than that can't be told from a unique one. Fragments of the order.
+SHINGLES_A_CELL = 64
+MOST_BITS = 24
 FRAGMENTS = 8
 
+# A task's table is cut into ranges of so many cells, and so many tasks' tables are added at once.
+RANGE_BITS = 16
+TABLES_AT_ONCE = 256
+
 # Cells of the table that keeps texts of no candidate out of the last shuffle.
 FILTER_CELLS = 1 << 20
 
-CHARS = 1 << 18
+# Rows and characters of a batch that are Python objects at once.
+ROWS = 256
+CHARS = 1 << 17
 
-FIRST = "doc_id bigint, n bigint, set_id bigint, cell int"
+FIRST = "doc_id bigint, n bigint, set_id bigint, part int, span int, cells binary"
+TABLES = "span int, part int, cells binary"
 POSTING = "token bigint, set_id bigint, n bigint, pos bigint, central bigint"
 SEGMENT = "set_id bigint, fragment int, tokens array<bigint>"
 
@@ -56,9 +66,11 @@ def set_id(tokens: np.ndarray) -> int:
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int | None, np.ndarray]]:
     """(first column, set) for rows of an id and a text."""
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b in pieces(texts, CHARS):
-            yield from zip(ids[a:b], shingle_sets(texts[a:b], size), strict=True)
+        for at in range(0, batch.num_rows, ROWS):
+            some = batch.slice(at, ROWS)
+            ids, texts = some.column(0).to_pylist(), some.column(1).to_pylist()
+            for a, b in pieces(texts, CHARS):
+                yield from zip(ids[a:b], shingle_sets(texts[a:b], size), strict=True)
 
 
 def cells(tokens: np.ndarray, bits: int) -> np.ndarray:
@@ -66,32 +78,52 @@ def cells(tokens: np.ndarray, bits: int) -> np.ndarray:
 
 
 def summarise(rows: DataFrame, size: int, bits: int) -> DataFrame:
-    """A row per document (id, set size, set id), and per task and cell the shingles counted in it."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("cell", pa.int32())])
+    """A row per document (id, set size, set id), and per task its table of counts, in ranges."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("part", pa.int32()),
+         ("span", pa.int32()), ("cells", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, out = np.zeros(1 << bits, np.int64), []
+        table, out, part = np.zeros(1 << bits, np.uint32), [], TaskContext.get().partitionId()
         for key, tokens in _sets(batches, size):
-            out.append((key, len(tokens), set_id(tokens) if len(tokens) else None, None))
+            out.append((key, len(tokens), set_id(tokens) if len(tokens) else None, None, None, None))
             np.add.at(table, cells(tokens, bits), 1)
             if len(out) >= 8192:
                 yield records(out, schema)
                 out = []
         yield records(out, schema)
-        some = np.flatnonzero(table)
-        none = pa.nulls(len(some), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.array(table[some]), none, pa.array(some.astype(np.int32))], schema=schema)
+        for i, a in enumerate(range(0, len(table), 1 << RANGE_BITS)):
+            some = table[a : a + (1 << RANGE_BITS)]
+            if some.any():
+                yield records([(None, None, None, part, i, some.tobytes())], schema)
 
     return rows.mapInArrow(run, FIRST)
 
 
-def ordering(counts: dict[int, int], bits: int, fragments: int) -> tuple[np.ndarray, np.ndarray]:
+def added(tables: DataFrame, parts: int) -> DataFrame:
+    """The sum of all tasks' tables, a row per range: a tree of sums of a bounded number each."""
+    schema = pa.schema([("span", pa.int32()), ("part", pa.int32()), ("cells", pa.binary())])
+
+    def add(some: pa.Table) -> pa.Table:
+        total = np.zeros(len(some.column("cells")[0].as_py()) // 4, np.uint64)
+        for chunk in some.column("cells").to_pylist():
+            total += np.frombuffer(chunk, np.uint32)
+        whole = np.minimum(total, np.uint64(2**32 - 1)).astype(np.uint32).tobytes()
+        first = some.slice(0, 1)
+        return pa.table([first.column("span"), first.column("part"), pa.array([whole], pa.binary())], schema=schema)
+
+    while parts > 1:
+        groups = tables.select("span", F.expr(f"part div {TABLES_AT_ONCE}").cast("int").alias("part"), "cells")
+        tables = groups.groupBy("span", "part").applyInArrow(add, TABLES)
+        parts = -(-parts // TABLES_AT_ONCE)
+    return tables
+
+
+def ordering(totals: np.ndarray, fragments: int) -> tuple[np.ndarray, np.ndarray]:
     """The class of each cell (how often its shingles occur, in powers of two), and the borders of
     the fragments in the order (class, hash), with about as many shingles in each."""
-    totals = np.zeros(1 << bits, np.int64)
-    for cell, n in counts.items():
-        totals[cell] = n
-    classes = np.minimum(np.log2(np.maximum(totals, 1)).astype(np.uint64), np.uint64(31))
+    classes = np.minimum(np.log2(np.maximum(totals, 1)), 31).astype(np.uint8)
     mass = np.bincount(classes.astype(np.int64), weights=totals, minlength=32)
     whole = np.concatenate([[0], np.cumsum(mass)])
     borders = []
@@ -106,7 +138,7 @@ def ordering(counts: dict[int, int], bits: int, fragments: int) -> tuple[np.ndar
 def order_keys(tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Where shingles stand in the global order, but for ties that their hashes decide."""
     bits = len(classes).bit_length() - 1
-    return (classes[cells(tokens, bits)] << np.uint64(58)) | (tokens >> np.uint64(6))
+    return (classes[cells(tokens, bits)].astype(np.uint64) << np.uint64(58)) | (tokens >> np.uint64(6))
 
 
 def least_overlap(n: int, num: int, den: int) -> int:
@@ -177,41 +209,79 @@ def _can_link(na: Column, ia: Column, nb: Column, ib: Column, num: int, den: int
     return _alike_in_size(na, nb, num, den) & ((num + den) * F.least(na - ia, nb - ib) >= num * (na + nb))
 
 
-def links(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shared, size: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b, na, nb) that link: overlaps counted per fragment, then summed."""
-    pairs = written(pairs, "jaccard-pairs")
+def _counted(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Per pair the common shingles in the fragments given, and how many each side has there."""
+    left = parts.select(F.col("set_id").alias("a"), "fragment", F.col("tokens").alias("ta"))
+    right = parts.select(F.col("set_id").alias("b"), "fragment", F.col("tokens").alias("tb"))
+    both = pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
+    sizes = [F.size(F.array_intersect("ta", "tb")).alias("common"), F.size("ta").alias("sa"), F.size("tb").alias("sb")]
+    # A set that several tasks emitted is counted once.
+    each = both.select("a", "b", "fragment", *sizes).distinct()
+    return each.groupBy(F.col("a").alias("x"), F.col("b").alias("y")).agg(
+        *[F.sum(c).alias(c) for c in ("common", "sa", "sb")]
+    )
+
+
+def _with_counts(pairs: DataFrame, parts: DataFrame, into: str) -> DataFrame:
+    """``pairs`` with what is common in these fragments, and what each side may have elsewhere."""
+    found = _counted(pairs, parts)
+    joined = pairs.join(found, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left")
+    none = F.lit(0).cast("bigint")
+    rest = F.least(F.col("na") - F.coalesce("sa", none), F.col("nb") - F.coalesce("sb", none))
+    return joined.select(*pairs.columns, F.coalesce("common", none).alias(into), rest.alias(f"{into}_rest"))
+
+
+def links(docs: DataFrame, sets: DataFrame, pairs: DataFrame, shared, size: int, num: int, den: int,
+          fragments: int = FRAGMENTS) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` (a, b, na, nb) that link: overlaps per fragment, summed.
+
+    The rarest quarter of the fragments comes first; pairs that cannot reach the overlap any more
+    are dropped before the others.
+    """
+    spark = docs.sparkSession
+    pairs, pairs_at = scratch(pairs, "jaccard-pairs")
     involved = pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s"))).distinct()
     # One document of each set, by an id that need not be unique: sets are computed anew.
     named = sets.groupBy("set_id").agg(F.min("doc_id").alias("d")).join(involved, F.col("set_id") == F.col("s"), "left_semi")
-    named = written(named.select("d").distinct(), "jaccard-texts")
+    named, named_at = scratch(named.select("d").distinct(), "jaccard-texts")
     cell = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_CELLS))
     near = named.select(cell("d").alias("cell")).distinct()  # at most FILTER_CELLS rows
     texts = docs.join(F.broadcast(near), cell("doc_id") == F.col("cell"), "left_semi")
     texts = texts.join(named, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
-    parts = written(segments(texts, shared, size), "jaccard-segments")
-    left = parts.select(F.col("set_id").alias("a"), "fragment", F.col("tokens").alias("ta"))
-    right = parts.select(F.col("set_id").alias("b"), "fragment", F.col("tokens").alias("tb"))
-    counted = pairs.join(left, "a").join(right, ["b", "fragment"])
-    counted = counted.select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ta", "tb")).alias("common"))
-    # A set that several tasks emitted is counted once.
-    each = counted.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("common").alias("common"))
-    total = each.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
-    enough = den * F.col("common") >= num * (F.col("na") + F.col("nb") - F.col("common"))
-    return written(total.filter(enough).select("a", "b"), "jaccard-links")
+    parts, parts_at = scratch(segments(texts, shared, size), "jaccard-segments")
+    release(spark, named_at)
+    early = max(1, fragments // 4)
+    needed = num * (F.col("na") + F.col("nb"))
+    first = _with_counts(pairs, parts.filter(F.col("fragment") < early), "first")
+    first = first.filter((num + den) * (F.col("first") + F.col("first_rest")) >= needed).drop("first_rest")
+    first, first_at = scratch(first, "jaccard-pairs")
+    release(spark, pairs_at)
+    whole = _with_counts(first, parts.filter(F.col("fragment") >= early), "second")
+    out = written(whole.filter((num + den) * (F.col("first") + F.col("second")) >= needed).select("a", "b"), "jaccard-links")
+    release(spark, first_at, parts_at)
+    return out
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, num: int = NUM, den: int = DEN,
-         bits: int = SKETCH_BITS, fragments: int = FRAGMENTS) -> DataFrame:
+         fragments: int = FRAGMENTS) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id it links to)."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(quoted(doc_id)).cast("bigint").alias("doc_id"), empty_as(text).alias("text"))
-    first = written(summarise(rows, size, bits), "jaccard-sets")
-    sets = first.filter(F.col("cell").isNull()).select("doc_id", "n", "set_id")
-    sums = first.filter(F.col("cell").isNotNull()).groupBy("cell").agg(F.sum("n").alias("n"))
-    table = sums.toArrow()  # a row per cell at most
-    counts = dict(zip(table.column("cell").to_pylist(), table.column("n").to_pylist(), strict=True))
-    shared = spark.sparkContext.broadcast(ordering(counts, bits, fragments))
+    # About six bytes make a word, and each word but a few begins a shingle.
+    words = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    bits = min(MOST_BITS, max(8, (words // SHINGLES_A_CELL).bit_length()))
+    first, first_at = scratch(summarise(rows, size, bits), "jaccard-sets")
+    sets = written(first.filter(F.col("span").isNull()).select("doc_id", "n", "set_id"), "jaccard-sets")
+    tables = first.filter(F.col("span").isNotNull()).select("span", "part", "cells")
+    parts = tables.agg(F.max("part")).first()[0]
+    totals = np.zeros(1 << bits, np.uint32)
+    # As many rows as the table has ranges.
+    for r in added(tables, (parts or 0) + 1).collect():
+        chunk = np.frombuffer(r.cells, np.uint32)
+        totals[r.span << RANGE_BITS : (r.span << RANGE_BITS) + len(chunk)] = chunk
+    shared = spark.sparkContext.broadcast(ordering(totals, fragments))
+    release(spark, first_at)
 
     found = postings(rows, shared, size, num, den)
     rank = F.shiftleft("central", 58).bitwiseOR(F.shiftrightunsigned("set_id", 6))
@@ -219,7 +289,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         F.max(rank).alias("leader"), F.min("set_id").alias("low"), F.max("set_id").alias("high")
     ).filter(F.col("low") != F.col("high")).select("t", "leader")
     both = found.join(leaders, F.col("token") == F.col("t"))
-    common = written(both.select("token", "set_id", "n", "pos", (rank == F.col("leader")).alias("leads")), "jaccard-postings")
+    common, common_at = scratch(both.select("token", "set_id", "n", "pos", (rank == F.col("leader")).alias("leads")), "jaccard-postings")
+    release(spark)
 
     heads = common.filter("leads").select(
         F.col("token").alias("t"), F.col("set_id").alias("l"), F.col("n").alias("nl"), F.col("pos").alias("il")
@@ -227,11 +298,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     star = common.join(heads, (F.col("token") == F.col("t")) & (F.col("set_id") != F.col("l")))
     star = star.filter(_can_link(F.col("n"), F.col("pos"), F.col("nl"), F.col("il"), num, den))
     star = written(_pairs(star, "set_id", "n", "l", "nl"), "jaccard-star")
-    near = links(rows, sets, star, shared, size, num, den)
+    near = links(rows, sets, star, shared, size, num, den, fragments)
     parts = connected(near)
 
-    rest = _across(common, parts, num, den).join(star.select("a", "b"), ["a", "b"], "left_anti")
-    more = links(rows, sets, rest, shared, size, num, den)
+    rest, live_at = _across(common, parts, num, den)
+    more = links(rows, sets, rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), shared, size, num, den, fragments)
+    release(spark, common_at, live_at)
     parts = connected(near.unionByName(more))
 
     own = sets.join(parts, F.col("set_id") == F.col("node"), "left")
@@ -252,8 +324,9 @@ def _pairs(df: DataFrame, a: str, na: str, b: str, nb: str) -> DataFrame:
     ).distinct()
 
 
-def _across(common: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of sets in different components that share a first shingle and can link.
+def _across(common: DataFrame, parts: DataFrame, num: int, den: int) -> tuple[DataFrame, str]:
+    """Pairs of sets in different components that share a first shingle and can link, and the
+    folder they are found in.
 
     Sets of equal size that have a shingle at the same position behave alike, so whole profiles
     are tested first, and only profiles that fit are expanded to sets.
@@ -262,7 +335,7 @@ def _across(common: DataFrame, parts: DataFrame, num: int, den: int) -> DataFram
     placed = placed.select("token", "set_id", "n", "pos", F.coalesce("component", "set_id").alias("c"))
     mixed = placed.groupBy(F.col("token").alias("t")).agg(F.min("c").alias("low"), F.max("c").alias("high"))
     mixed = mixed.filter(F.col("low") != F.col("high")).select("t")
-    live = written(placed.join(mixed, F.col("token") == F.col("t"), "left_semi"), "jaccard-live")
+    live, live_at = scratch(placed.join(mixed, F.col("token") == F.col("t"), "left_semi"), "jaccard-live")
     profiles = live.groupBy("token", "n", "pos").agg(F.min("c").alias("low"), F.max("c").alias("high"))
     x = profiles.select(F.col("token").alias("t"), *[F.col(c).alias(f"x_{c}") for c in ("n", "pos", "low", "high")])
     y = profiles.select(F.col("token").alias("u"), *[F.col(c).alias(f"y_{c}") for c in ("n", "pos", "low", "high")])
@@ -274,7 +347,7 @@ def _across(common: DataFrame, parts: DataFrame, num: int, den: int) -> DataFram
     two = live.select(F.col("token").alias("t"), F.col("n").alias("y_n"), F.col("pos").alias("y_pos"), F.col("set_id").alias("b"), F.col("c").alias("cb"))
     other = (F.col("ca") != F.col("cb")) & ((F.col("x_n") != F.col("y_n")) | (F.col("x_pos") != F.col("y_pos")) | (F.col("a") < F.col("b")))
     pairs = fits.join(one, ["t", "x_n", "x_pos"]).join(two, ["t", "y_n", "y_pos"]).filter(other)
-    return _pairs(pairs, "a", "x_n", "b", "y_n")
+    return _pairs(pairs, "a", "x_n", "b", "y_n"), live_at
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
