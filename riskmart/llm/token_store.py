@@ -33,6 +33,7 @@ from riskmart.llm.common import (
     empty_as,
     file_system,
     file_tasks,
+    hash_bound,
     quoted,
     records,
     shared_folder,
@@ -151,7 +152,8 @@ class ShardReader:
 
 def _sample(docs: DataFrame, vocabulary: str) -> list[bytes]:
     """Slices of serialised ids from the sampled documents."""
-    chosen = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS).select("text")
+    bound = hash_bound(docs, "doc_id", SAMPLE_DOCUMENTS)
+    chosen = docs.filter(F.xxhash64("doc_id") <= F.lit(bound).cast("bigint")).select("text")
     schema = pa.schema([("slice", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
