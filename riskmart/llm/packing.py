@@ -196,7 +196,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
     spark = docs.sparkSession
     ship(spark)
     # The written table fixes the tasks' numbers and places: a later loss can't change a rank.
-    pieces = written(cut(docs, doc_id, text, length, vocabulary or default_vocabulary()), "pieces")
+    pieces = written(cut(docs, doc_id, text, length, vocabulary or default_vocabulary()).withColumn("crc", F.crc32("ids")), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -204,6 +204,9 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
         F.col("part").alias("b_part"), F.col("length").alias("b_length"),
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"),
     )
+    if not with_ids:
+        # Only pieces that may be cut need their ids again; the others have their checksum.
+        pieces = pieces.withColumn("ids", F.when(F.col("length") < length, F.col("ids")))
     ranked = pieces.join(
         bases, (F.col("part") == F.col("b_part")) & (F.col("length") == F.col("b_length"))
     ).withColumn("rank", F.col("base") + F.col("place"))
@@ -217,7 +220,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
     )
     run = F.expr("slot + (rank - lo) * length")
     placed = placed.select(
-        "doc_id", "doc_tokens", "start", "length", "ids",
+        "doc_id", "doc_tokens", "start", "length", "ids", "crc",
         F.when(F.col("stream"), F.col("sequence") + F.expr(f"(slot + (rank - lo) * length) div {length}"))
         .otherwise(F.col("sequence") + F.expr("(first + rank - lo) div per")).alias("seq"),
         F.when(F.col("stream"), run % length).otherwise(F.expr("slot + (first + rank - lo) % per")).alias("slot"),
@@ -227,9 +230,10 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
 
     def part(begin, size, sequence, slot):
         ids = F.substring("ids", (begin * 4 + 1).cast("int"), (size * 4).cast("int"))
+        crc = F.when(size == F.col("length"), F.col("crc")).otherwise(F.crc32(ids))
         return F.struct(
             (F.col("start") + begin).alias("start"), size.cast("bigint").alias("length"), ids.alias("ids"),
-            F.crc32(ids).alias("ids_crc32"), sequence.alias("sequence_id"), slot.alias("slot"),
+            crc.alias("ids_crc32"), sequence.alias("sequence_id"), slot.alias("slot"),
         )
 
     whole = part(F.lit(0), F.col("fits"), F.col("seq"), F.col("slot"))

@@ -23,7 +23,7 @@ _PART = re.compile(
 )
 
 # Distinct parts kept per worker, and the longest that is kept.
-KEPT_PARTS = 1_200_000
+KEPT_PARTS = 1_000_000
 KEPT_CHARS = 48
 
 
