@@ -51,7 +51,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the SQL of ``op5_pii`` leaves out: entities seen in fewer than three documents."""
+    """What the SQL of ``op5_pii`` leaves out: rare entities, and terms away from a mention."""
     return _pii_spans(pii.find_whole(table(spark, sf_dir, "documents")))
 
 
