@@ -35,8 +35,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 ids: one row per piece of a document."""
-    return packing.pack(docs, with_ids=False)
+    """Sequences of at most 1024 ids: one row per piece of a document, with its ids."""
+    return packing.pack(docs)
 
 
 STAGES = [

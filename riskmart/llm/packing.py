@@ -17,16 +17,19 @@ doc_id are packed each for itself; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import empty_as, quoted, records, ship, written
+from riskmart.llm.token_store import LEVEL, id_type_of
 from riskmart.llm.tokens import default_vocabulary, encoder
 
 LENGTH = 1024
@@ -45,6 +48,9 @@ REFACTOR_EVERY = 150
 PIECES = (
     "doc_id bigint, doc_tokens bigint, start bigint, length int, ids binary, part int, place bigint"
 )
+PACKED = (
+    "doc_id bigint, start bigint, length bigint, ids binary, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+)
 
 
 def price(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +165,7 @@ def plan(histogram: dict[int, int], length: int = LENGTH, max_waste: int = MAX_W
 
 
 def cut(docs: DataFrame, doc_id: str, text: str, length: int, vocabulary: str) -> DataFrame:
-    """Pieces of every document, each with its place among the equally long ones of its task."""
+    """Pieces of every document, compressed, each with its place among the equally long ones of its task."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("start", pa.int64()), ("length", pa.int32()),
          ("ids", pa.binary()), ("part", pa.int32()), ("place", pa.int64())]
@@ -168,6 +174,7 @@ def cut(docs: DataFrame, doc_id: str, text: str, length: int, vocabulary: str) -
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part, seen = encoder(vocabulary), TaskContext.get().partitionId(), Counter()
         end = np.array([END_ID], "<u4").tobytes()
+        kind, squeeze = id_type_of(tokens.size), zstandard.ZstdCompressor(level=LEVEL).compress
         for batch in batches:
             rows, held = [], 0
             for a in range(0, batch.num_rows, 512):
@@ -176,9 +183,9 @@ def cut(docs: DataFrame, doc_id: str, text: str, length: int, vocabulary: str) -
                     ids = tokens.encode(t) + end
                     total = len(ids) // 4
                     for start in range(0, total, length):
-                        piece = ids[4 * start : 4 * (start + length)]
-                        size = len(piece) // 4
-                        rows.append((key, total, start, size, piece, part, seen[size]))
+                        piece = np.frombuffer(ids, "<u4")[start : start + length]
+                        size = len(piece)
+                        rows.append((key, total, start, size, squeeze(piece.astype(kind).tobytes()), part, seen[size]))
                         seen[size] += 1
                     held += len(ids)
                     if held > 4 << 20:
@@ -191,12 +198,12 @@ def cut(docs: DataFrame, doc_id: str, text: str, length: int, vocabulary: str) -
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
-         max_waste: int = MAX_WASTE, vocabulary: str | None = None, with_ids: bool = True) -> DataFrame:
+         max_waste: int = MAX_WASTE, vocabulary: str | None = None) -> DataFrame:
     """doc_id, start, length, ids (little-endian unsigned 32-bit), ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     ship(spark)
     # The written table fixes the tasks' numbers and places: a later loss can't change a rank.
-    pieces = written(cut(docs, doc_id, text, length, vocabulary or default_vocabulary()).withColumn("crc", F.crc32("ids")), "pieces")
+    pieces = written(cut(docs, doc_id, text, length, vocabulary or default_vocabulary()), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -204,10 +211,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
         F.col("part").alias("b_part"), F.col("length").alias("b_length"),
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"),
     )
-    if not with_ids:
-        # Only pieces that may be cut need their ids again; the others have their checksum.
-        pieces = pieces.withColumn("ids", F.when(F.col("length") < length, F.col("ids")))
-    ranked = pieces.join(
+    # Ids stay behind while places are found, and are moved once.
+    ranked = pieces.drop("ids").join(
         bases, (F.col("part") == F.col("b_part")) & (F.col("length") == F.col("b_length"))
     ).withColumn("rank", F.col("base") + F.col("place"))
     # A basis of patterns with their lengths, and one stream row for each length: bounded by the
@@ -220,7 +225,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
     )
     run = F.expr("slot + (rank - lo) * length")
     placed = placed.select(
-        "doc_id", "doc_tokens", "start", "length", "ids", "crc",
+        "doc_id", "doc_tokens", "start", "length", "part", "place",
         F.when(F.col("stream"), F.col("sequence") + F.expr(f"(slot + (rank - lo) * length) div {length}"))
         .otherwise(F.col("sequence") + F.expr("(first + rank - lo) div per")).alias("seq"),
         F.when(F.col("stream"), run % length).otherwise(F.expr("slot + (first + rank - lo) % per")).alias("slot"),
@@ -229,20 +234,47 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
     )
 
     def part(begin, size, sequence, slot):
-        ids = F.substring("ids", (begin * 4 + 1).cast("int"), (size * 4).cast("int"))
-        crc = F.when(size == F.col("length"), F.col("crc")).otherwise(F.crc32(ids))
         return F.struct(
-            (F.col("start") + begin).alias("start"), size.cast("bigint").alias("length"), ids.alias("ids"),
-            crc.alias("ids_crc32"), sequence.alias("sequence_id"), slot.alias("slot"),
+            (F.col("start") + begin).alias("start"), size.cast("bigint").alias("length"),
+            begin.cast("int").alias("begin"), F.col("length").alias("p_length"), "part", "place",
+            sequence.alias("sequence_id"), slot.alias("slot"),
         )
 
     whole = part(F.lit(0), F.col("fits"), F.col("seq"), F.col("slot"))
     rest = part(F.col("fits"), F.col("length") - F.col("fits"), F.col("seq") + 1, F.lit(0).cast("bigint"))
     both = F.when(F.col("fits") < F.col("length"), F.array(whole, rest)).otherwise(F.array(whole))
     cut_up = placed.select("doc_id", "doc_tokens", F.inline(both))
-    kept = ["doc_id", "start", "length", *(["ids"] if with_ids else []), "ids_crc32", "doc_tokens", "sequence_id"]
+    kept = ["doc_id", "start", "length", "begin", "doc_tokens", "sequence_id", "p_length", "part", "place"]
     before = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    return cut_up.select(*kept, "slot").select(*kept, F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
+    at = F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset")
+    at_place = cut_up.select(*kept, "slot").select(*kept, at)
+    own = pieces.select(F.col("part").alias("i_part"), F.col("length").alias("i_length"), F.col("place").alias("i_place"), "ids")
+    laid = at_place.join(
+        own, (F.col("part") == F.col("i_part")) & (F.col("p_length") == F.col("i_length")) & (F.col("place") == F.col("i_place"))
+    )
+    laid = laid.select("doc_id", "start", "length", "ids", "begin", "doc_tokens", "sequence_id", "offset")
+    return unpacked(written(laid, "packed"), vocabulary or default_vocabulary())
+
+
+def unpacked(laid: DataFrame, vocabulary: str) -> DataFrame:
+    """The written pieces with their ids as 32-bit numbers, and checksums of just these."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
+         ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
+    )
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, unpack = id_type_of(encoder(vocabulary).size), zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1024):
+                rows = []
+                for r in batch.slice(a, 1024).to_pylist():
+                    part = np.frombuffer(unpack(r["ids"]), kind)[r["begin"] : r["begin"] + r["length"]]
+                    ids = part.astype("<u4").tobytes()
+                    rows.append((r["doc_id"], r["start"], r["length"], ids, zlib.crc32(ids), r["doc_tokens"], r["sequence_id"], r["offset"]))
+                yield records(rows, schema)
+
+    return laid.mapInArrow(widen, PACKED)
 
 
 def sequences(packed: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -1,6 +1,7 @@
 """The registered queries against their SQL, and the pipeline from end to end."""
 
 import sys
+import zlib
 from pathlib import Path
 
 import pytest
@@ -62,3 +63,8 @@ def test_stages_keep_the_columns(spark, sf_dir, documents, prose):
         out = stage(spark, docs, sf_dir)
         assert out.schema.names == docs.schema.names
         assert out.count() == 3
+
+
+def test_the_last_stage_carries_the_ids(spark, sf_dir, documents, prose):
+    rows = corpus_pipeline.STAGES[-1][1](spark, documents([(1, prose), (2, None), (3, prose * 40)]), sf_dir).collect()
+    assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in rows)
