@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import compare  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from riskmart.llm.oracle import LLM_ORACLE  # noqa: E402
-from riskmart.llm.queries import LLM_QUERIES  # noqa: E402
+from riskmart.llm.queries import LLM_QUERIES, WHOLE_QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +65,25 @@ def test_stages_keep_the_columns(spark, sf_dir, documents, prose):
         assert out.count() == 3
 
 
+def test_rollup_by_the_vocabulary_against_brute_force(spark, sf_dir, duck):
+    from collections import Counter
+    import re
+
+    from riskmart.llm.tokens import default_vocabulary, encoder
+
+    tokens, n_docs, n_tokens = encoder(default_vocabulary()), Counter(), Counter()
+    poor = {r[0] for r in duck.execute("SELECT doc_id FROM labels WHERE quality = 0").fetchall()}
+    toxic = {r[0] for r in duck.execute("SELECT doc_id FROM labels WHERE toxic = 1").fetchall()}
+    for i, t, source, lang in duck.execute("SELECT doc_id, text, source, lang FROM documents").fetchall():
+        if i is None or i not in toxic:
+            t = re.sub("[0-9]+", " ", t or "") if i in poor and i is not None else t or ""
+            n_docs[source, lang] += 1
+            n_tokens[source, lang] += len(tokens.encode(t)) // 4
+    rows = WHOLE_QUERIES["op9_token_rollup_bpe"](spark, sf_dir).collect()
+    assert {r.tokenizer for r in rows} == {"byte_bpe_50k"}
+    assert {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in rows} == {k: (n_docs[k], n_tokens[k]) for k in n_docs}
+
+
 def test_the_last_stage_carries_the_ids(spark, sf_dir, documents, prose):
     rows = corpus_pipeline.STAGES[-1][1](spark, documents([(1, prose), (2, None), (3, prose * 40)]), sf_dir).collect()
     assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in rows)
