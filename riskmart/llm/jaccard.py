@@ -27,10 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import empty_as, pieces, quoted, records, release, scratch, ship, written
+from riskmart.llm.common import empty_as, fresh_name, pieces, quoted, records, release, scratch, ship, written
 from riskmart.llm.components import connected
 from riskmart.llm.shingles import shingle_sets
 
@@ -358,3 +358,32 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     found = join(docs, doc_id, text, **options)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, F.col(quoted(doc_id)).cast("bigint").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest doc_id, nulls last.
+
+    Rows are told apart by doc_id and text, so of repeated rows one stays, and a copy goes whatever
+    its doc_id. Rows without words stay all. A row that shares a kept row's hash stays as well.
+    """
+    spark, key = docs.sparkSession, fresh_name(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(quoted(doc_id)), F.col(quoted(text))))
+    found = join(keyed.select(key, F.col(quoted(text)).alias("text")), key, "text", **options)
+    ids = keyed.select(F.col(key).alias("key"), F.col(quoted(doc_id)).cast("bigint").alias("id"))
+    ids = ids.groupBy("key").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("id"), F.count(F.lit(1)).alias("rows"))
+    found = found.select(F.col("doc_id").alias("m_key"), "n_shingles", "component_id").distinct()
+    members = written(found.join(ids, F.col("m_key") == F.col("key")).drop("m_key"), "jaccard-members")
+    first = members.filter("n_shingles > 0").groupBy(F.col("component_id").alias("c")).agg(F.min(F.struct("id", "key")).alias("first"))
+    chosen = members.join(first, F.col("component_id") == F.col("c"), "left")
+    chosen = chosen.filter((F.col("n_shingles") == 0) | (F.col("key") == F.col("first")["key"]))
+    kept, kept_at = scratch(
+        chosen.select("key", ((F.col("rows") > 1) & (F.col("n_shingles") > 0)).alias("again")).distinct(), "jaccard-kept"
+    )
+    own = [quoted(c) for c in docs.columns]
+    once = keyed.join(kept.filter("NOT again"), F.col(key) == F.col("key"), "left_semi").select(*own)
+    if kept.filter("again").isEmpty():
+        return once
+    number = fresh_name(keyed, "number")
+    again = keyed.join(kept.filter("again"), F.col(key) == F.col("key"), "left_semi")
+    again = again.withColumn(number, F.row_number().over(Window.partitionBy(key).orderBy(*own)))
+    return once.unionByName(again.filter(F.col(number) == 1).select(*own))

@@ -83,25 +83,41 @@ def start(sizes: np.ndarray, counts: np.ndarray, room: int) -> np.ndarray:
     return patterns
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by row operations. A BLAS call here may wait forever: its threads don't get on
+    with those that other libraries start in the driver's process."""
+    n = len(matrix)
+    both = np.concatenate([matrix, np.eye(n)], axis=1)
+    for k in range(n):
+        pivot = k + int(np.abs(both[k:, k]).argmax())
+        if pivot != k:
+            both[[k, pivot]] = both[[pivot, k]]
+        both[k] /= both[k, k]
+        rows = np.flatnonzero(both[:, k])
+        rows = rows[rows != k]
+        both[rows] -= both[rows, k : k + 1] * both[k]
+    return both[:, n:].copy()
+
+
 def solve(sizes: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[float, np.ndarray]]:
     """The linear program: how often each pattern is used; the patterns form a basis."""
     n = len(sizes)
     patterns = start(sizes, counts, room)
-    inverse = np.linalg.inv(patterns) if n else patterns
-    used = np.maximum(inverse @ counts, 0)
+    inverse = inverted(patterns)
+    used = np.maximum((inverse * counts).sum(axis=1), 0)
     bound = 0.0
     for step in range(1, EXCHANGES * n + 1):
         values = inverse.sum(axis=0)
         best, last = price(values, sizes, room)
         total = int(np.argmax(best))
-        bound = max(bound, float(values @ counts) / max(1.0, float(best[total])))
+        bound = max(bound, float((values * counts).sum()) / max(1.0, float(best[total])))
         if best[total] <= 1 + 1e-9 or used.sum() <= max((1 + GAP) * bound, bound + 0.5):
             break
         column, t = np.zeros(n), total
         while t:
             column[last[t]] += 1
             t -= int(sizes[last[t]])
-        direction = (inverse * column).sum(axis=1)  # too small for threads
+        direction = (inverse * column).sum(axis=1)
         able = direction > 1e-9
         ratios = np.where(able, used / np.where(able, direction, 1), np.inf)
         leave = int(np.argmin(ratios))
@@ -113,8 +129,8 @@ def solve(sizes: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[float,
         inverse -= np.outer(direction, row)
         inverse[leave] = row
         if step % REFACTOR_EVERY == 0:
-            inverse = np.linalg.inv(patterns)
-            used = np.maximum(inverse @ counts, 0)
+            inverse = inverted(patterns)
+            used = np.maximum((inverse * counts).sum(axis=1), 0)
     return [(float(used[i]), patterns[:, i].astype(np.int64)) for i in range(n)]
 
 

@@ -22,8 +22,9 @@ _PART = re.compile(
     f"'(?:[sdmt]|ll|ve|re)| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\\s{_LETTER}{_DIGIT}]+|\\s+(?!\\S)|\\s+"
 )
 
-# Distinct parts kept per worker, and the longest that is kept.
-KEPT_PARTS = 1_000_000
+# Distinct parts in each of the two halves of what a worker keeps (some 20 MB a half), and the
+# longest that is kept.
+KEPT_PARTS = 150_000
 KEPT_CHARS = 48
 
 
@@ -39,18 +40,25 @@ def _byte_letters() -> dict[int, int]:
 
 
 class _Parts(dict):
-    """Ids of a part as little-endian unsigned 32-bit bytes, found on first use."""
+    """Ids of a part as little-endian unsigned 32-bit bytes, found on first use.
+
+    When this half is full it becomes the older one, from which parts still in use come back.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.cut = tokenizer.model.tokenize
         self.letters = _byte_letters()
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        spelt = part.encode().decode("latin-1").translate(self.letters)
-        ids = _bytes([t.id for t in self.cut(spelt)])
+        ids = self.older.get(part)
+        if ids is None:
+            spelt = part.encode().decode("latin-1").translate(self.letters)
+            ids = _bytes([t.id for t in self.cut(spelt)])
         if len(part) <= KEPT_CHARS:
             if len(self) >= KEPT_PARTS:
+                self.older = dict(self)
                 self.clear()
             self[part] = ids
         return ids

@@ -176,6 +176,19 @@ def test_jaccard_of_repeated_ids_and_empty_tables(spark, documents, prose):
     assert jaccard.join(documents([])).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark, documents, prose):
+    other = "quite another text of several words"
+    rows = [(3, prose), (3, prose), (3, other), (None, prose), (None, None), (None, None), (7, ""), (8, other), (2, prose)]
+    docs = documents(rows, extra=("row_key", "number"))
+    kept = jaccard.keep_one_row(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text) for r in kept.select("doc_id", "text").collect() if r.text)
+    assert got == sorted([("2", prose), ("3", other)])
+    assert kept.filter("coalesce(text, '') = ''").count() == 3
+    assert sorted(r.doc_id for r in jaccard.keep_one_row(documents([(5, prose), (5, prose), (6, other)])).collect()) == [5, 6]
+    assert jaccard.keep_one_row(documents([])).count() == 0
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (500, 400)]
     rows = connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
@@ -246,3 +259,26 @@ def test_rollup_batches(spark):
 def test_rollup_by_vocabulary(spark, documents, encoder):
     rows = rollup.counted_by_vocabulary(documents([(1, "some words here"), (2, None)], extra=("n_ids",)), "bpe", default_vocabulary()).collect()
     assert {r.doc_id: r.tokens for r in rows} == {1: len(encoder.encode("some words here")) // 4, 2: 0}
+
+
+def test_the_plan_is_found_beside_other_libraries_threads(spark, encoder):
+    """In one process with Spark, DuckDB and the tokenizer, within a time limit."""
+    import threading
+
+    import duckdb
+
+    duckdb.sql("SELECT sum(i) FROM range(1000000) t(i)").fetchall()
+    encoder.whole.encode_batch(["some text"] * 64, add_special_tokens=False)
+    spark.range(1000).count()
+    histogram, rows = {s: 5 + s * 7 % 900 for s in range(1, 1025)}, []
+    run = threading.Thread(target=lambda: rows.extend(packing.plan(histogram)), daemon=True)
+    run.start()
+    run.join(120)
+    assert rows and sum(hi - lo for _, lo, hi, *_ in rows) == sum(histogram.values())
+
+
+def test_inverses():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 60):
+        m = rng.integers(0, 4, (n, n)) + 5.0 * np.eye(n)[:, ::-1]
+        assert np.abs((packing.inverted(m)[:, :, None] * m[None]).sum(axis=1) - np.eye(n)).max(initial=0) < 1e-8

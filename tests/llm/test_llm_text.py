@@ -49,6 +49,64 @@ def test_language_without_labels(spark, documents):
     assert tuple(found.first()[name]) == ("und", 0.0)
 
 
+def test_language_against_plain_python(spark, documents):
+    import math
+
+    rows = [(i, t, lang) for i, t, lang in TRAIN] + [(50, "le la les " * 900, "fr"), (51, None, "en"), (52, "no label", None)]
+    model = language.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), sample=50)
+
+    def buckets(text, end=""):
+        points = [ord(c) for c in text + end]
+        for n in (1, 2, 3):
+            for i in range(min(len(text), len(points) - n + 1)):
+                code = 0
+                for p in points[i : i + n]:
+                    code = (code + p + 1) * 0x9E3779B1 & 0xFFFFFFFF
+                    code ^= code >> 15
+                yield (code * 0x9E3779B1 & 0xFFFFFFFF) >> 16
+
+    totals, seen = {x: Counter() for x in ("de", "en", "fr")}, Counter()
+    for _, t, lang in rows:
+        if t is not None and lang is not None:
+            totals[lang].update(buckets(t.lower(), "   "))
+            seen[lang] += 1
+    assert model.languages == ("de", "en", "fr")
+    for t in ["the house", "le fluss", "La Colline été", "les le " * 30_000]:
+        logs = []
+        for lang in model.languages:
+            whole = sum(totals[lang].values()) + language.SMOOTHING * language.BUCKETS
+            weigh = {b: math.log((totals[lang][b] + language.SMOOTHING) / whole) for b in set(buckets(t.lower(), "   "))}
+            logs.append(math.fsum(weigh[b] for b in buckets(t.lower(), "   ")) + math.log(seen[lang] / sum(seen.values())))
+        chances = [math.exp(x - max(logs)) for x in logs]
+        ((got, score),) = language.predict([t], model)
+        assert got == model.languages[chances.index(max(chances))]
+        assert abs(score - max(chances) / sum(chances)) < 1e-6
+
+
+def test_language_ties_empty_tables_and_repeated_ids(spark, documents):
+    ddl = "doc_id bigint, text string, lang string"
+    twins = language.train(spark.createDataFrame([(1, "ab ab", "x"), (2, "ab ab", "b")], ddl))
+    assert language.predict(["ab"], twins) == [("b", 0.5)]
+    empty = documents([])
+    assert language.identify(empty, twins)[0].count() == 0 and language.keep_identified(empty, twins).count() == 0
+    # All rows share an id and so a hash: all are needed for the smallest few.
+    same = language.train(spark.createDataFrame([(None, f"word {i}", "x") for i in range(40)], ddl), sample=3)
+    assert same.languages == ("x",)
+
+
+def test_an_unlearned_language_goes_and_clean_text_stays(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language.train(docs.filter(~language.held_out()))
+    strange = [
+        (-1, "Wczoraj wieczorem poszedłem do sklepu, żeby kupić chleb i mleko, ale było już zamknięte. " * 40),
+        (-2, "Вчера вечером я пошёл в магазин купить хлеб, но он был закрыт. " * 9), (-3, "我昨天晚上去商店买面包和牛奶但是已经关门了" * 20),
+    ]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(strange, "doc_id bigint, text string"))
+    kept = {r.doc_id for r in language.keep_identified(both, model).select("doc_id").collect()}
+    expected = {r.doc_id for r in docs.filter(F.col("text").rlike("\\p{L}")).select("doc_id").collect()}
+    assert kept == expected
+
+
 def test_language_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found, name = language.identify(docs, language.train(docs.filter(~language.held_out())))
