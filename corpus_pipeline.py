@@ -1,6 +1,6 @@
 """From raw documents to packed training sequences: each stage works on what the last one kept.
 
-All but the last stage return the columns of documents. Rows that share a doc_id stay together.
+All but the last stage return the columns of documents.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from riskmart.llm.common import table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and those whose likeliest language has less than even odds.
+    """Documents without a letter go, and those whose likeliest language has less than even odds or
+    usually looks quite different.
 
     The model learns from the labelled documents that are not held out.
     """
@@ -20,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 in five-word shingles one stays."""
-    return jaccard.keep_one(docs)
+    """Of rows linked by a similarity of 0.8 in five-word shingles, repeated ones included, one stays."""
+    return jaccard.keep_one_row(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
