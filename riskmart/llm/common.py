@@ -19,6 +19,10 @@ from riskmart.sources.files import _locate, full_path
 
 _SHIPPED: set[str] = set()
 
+# Rows that go to a Python worker at once.
+ARROW_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_ROWS = 1_000
+
 # Characters of text handled at once inside a task.
 CHARS_AT_ONCE = 1 << 20
 
@@ -28,7 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the Python workers, once per application."""
+    """Send the package to the Python workers, once per application, and rows in small batches.
+
+    A batch of Spark's own size holds tens of MB of text, several times over on both sides. A size
+    that the session has set itself stays.
+    """
+    if spark.conf.get(ARROW_ROWS_CONF) == "10000":
+        spark.conf.set(ARROW_ROWS_CONF, str(ARROW_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

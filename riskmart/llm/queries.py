@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontamination, jaccard, language, neighbours, packing, pii, rollup, secrets, token_store, warc
+from riskmart.llm import (
+    decontamination, jaccard, language, mixing, neighbours, packing, pii, resampling, rollup, runs, secrets, token_store, warc,
+)
 from riskmart.llm.common import shared_folder, table
 from riskmart.llm.spans import hashed, spelt
 from riskmart.llm.tokens import default_vocabulary
@@ -115,6 +118,43 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, hashed(base).alias("base_sha256"), spelt(F.col(name)).alias("spans"))
 
 
+def with_repeats(row: dict, words: list[bytes]) -> list[bytes]:
+    """Every tenth document, by a checksum of its id, repeats a stretch of words up to its end."""
+    if row["doc_id"] is None:
+        return words
+    h = zlib.crc32(str(row["doc_id"]).encode())
+    g, n = h // 10, len(words)
+    if h % 10:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, name = runs.find(docs, prepare=with_repeats, keys=("doc_id",))
+    found = found.select("doc_id", f"{name}.*").withColumn("one", F.get("runs", F.col("best")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "one.start", "one.length", "one.period",
+        F.expr("1000 * one.length div one.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(line, lambda x: F.concat(x, F.lit("\n")))).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, documents = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixing.taken(mixed, documents).select("doc_id", "size", "source_size", "target", "taken")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -125,3 +165,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Beside the ten: the same work without the bounds that the SQL of the ten fixes.
 WHOLE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_pii_whole, op9_token_rollup_bpe)}
+
+# Redundancy, selection and mixing.
+CORPUS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op11_runs, op12_resampling, op13_mixing)
+}
