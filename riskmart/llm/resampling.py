@@ -24,6 +24,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -83,9 +84,9 @@ def intern(grams: list[bytes], buckets: int = BUCKETS, hashed=xxhash.xxh64_intdi
         first[here[free][::-1]] = waiting[free][::-1]
         holder = first[here]
         same = keys[holder] == keys[waiting]
-        for i in np.flatnonzero(same & (holder != waiting)).tolist():
-            if grams[holder[i]] != grams[waiting[i]]:
-                same[i] = False
+        apart = np.flatnonzero(same & (holder != waiting))
+        ours, theirs = (map(grams.__getitem__, x[apart].tolist()) for x in (waiting, holder))
+        same[apart] = np.fromiter(map(eq, ours, theirs), bool, len(apart))
         slot_of[waiting[same]] = here[same]
         waiting = waiting[~same]
         at[waiting] = (at[waiting] + 1) & (size - 1)
