@@ -40,7 +40,7 @@ SHARD_BLOCKS = 1 << 14
 MOST_SHARDS = 1 << 14
 
 # Rows of a source that are put in order together, about.
-CHUNK_ROWS = 1 << 16
+CHUNK_ROWS = 1 << 12
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -213,7 +213,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     sources = plan(streams, weights, most, block)
     streams = _numbered(streams, sources)
     blocks = drawn_blocks(docs.sparkSession, sources, seed)
-    mixed = pieces_of(streams, block).join(blocks, ["number", "index"])
+    # Both sides grow with the tokens, which Spark can't tell from the short list that blocks come of.
+    mixed = pieces_of(streams, block).hint("merge").join(blocks, ["number", "index"])
     mixed = mixed.select("shard", "slot", "at", "doc_id", "start", "length", "number", "place")
     return mixed, streams.withColumnRenamed("start", "place")
 
