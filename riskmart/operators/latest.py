@@ -44,6 +44,14 @@ def merge_latest(
     Only the changes are ranked. Both sides then have one row per key, so one full join, in
     which no key is hot, sets each row beside its successor; ``current`` is read once.
     """
+    pairs = compared(current, changes, key, order_by)
+    return pairs.select(F.when(F.col("_newer"), F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
+
+
+def compared(
+    current: DataFrame, changes: DataFrame, key: Sequence[str], order_by: str
+) -> DataFrame:
+    """Each key's row (``_old``) beside its change (``_new``), and whether that one is ``_newer``."""
     key, columns = list(key), current.columns
     if not key:
         raise ValueError("a key column is needed")
@@ -59,7 +67,17 @@ def merge_latest(
     # Structs compare field by field, null lowest, as the ranking of ``keep_latest`` does.
     rank = {n: F.struct(*[F.col(n)[c] for c in order]) for n in ("_old", "_new")}
     newer = F.col("_old").isNull() | (F.col("_new").isNotNull() & (rank["_new"] > rank["_old"]))
-    return joined.select(F.when(newer, F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
+    return joined.select("_old", "_new", newer.alias("_newer"))
+
+
+def signed_images(pairs: DataFrame) -> DataFrame:
+    """What replacing rows takes away (``_sign`` -1) and brings (1)."""
+    images = F.array(
+        F.struct(F.lit(-1).alias("_sign"), F.col("_old").alias("_row")),
+        F.struct(F.lit(1).alias("_sign"), F.col("_new").alias("_row")),
+    )
+    images = F.filter(images, lambda x: x["_row"].isNotNull())
+    return pairs.filter("_newer").select(F.explode(images).alias("_x")).select("_x._sign", "_x._row.*")
 
 
 def latest_per_group(df: DataFrame, groups: Sequence[str], order_by: str) -> DataFrame:

@@ -48,6 +48,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _file_status(spark, path) is not None
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it is not there. For folders of a few entries."""
+    fs, where = _locate(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
 def require_directory(spark: SparkSession, path: str) -> None:
     status = _file_status(spark, path)
     if status is None:

@@ -13,6 +13,9 @@ from riskmart.sources.files import _locate, path_exists
 FORMAT = "parquet"
 LAYERS = ("bronze", "silver", "gold")
 
+# The partition column of tables laid out by a key hash; no column of the table itself.
+BUCKET = "_bucket"
+
 
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
@@ -25,7 +28,7 @@ def table_exists(spark: SparkSession, root: str, name: str) -> bool:
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = FORMAT) -> DataFrame:
     if not table_exists(spark, root, name):
         raise FileNotFoundError(f"no table at {table_path(root, name)}")
-    return spark.read.format(fmt).load(table_path(root, name))
+    return spark.read.format(fmt).load(table_path(root, name)).drop(BUCKET)
 
 
 def write_table(
