@@ -66,6 +66,45 @@ def rwa_rollup(exposure: DataFrame, groups: Sequence[str] = RWA_GROUPS) -> DataF
     return exposure.groupBy(*groups).agg(*_measures()).select(*_totals(groups))
 
 
+def rwa_state(exposure: DataFrame, groups: Sequence[str] = RWA_GROUPS, sign: str | None = None) -> DataFrame:
+    """The rollup's sums before they become totals; states of parts of the rows add up.
+
+    ``sign`` names a column of 1 and -1 for rows that come and go. ``_odds`` counts the amounts and
+    products that fit no decimal, and ``_moved`` those of them that came or went; odd sums can't be
+    taken back, as infinity minus infinity is not zero.
+    """
+    amount, weight = F.col("amount_eur").cast("double"), F.col("risk_weight").cast("double")
+    small, light = _within(amount, LARGEST_AMOUNT), _within(weight, LARGEST_WEIGHT)
+    a, w = F.when(small, amount).cast(AMOUNT), F.when(light, weight).cast(WEIGHT)
+    by = F.lit(1) if sign is None else F.col(sign)
+    odd = F.coalesce((~small).cast("int"), F.lit(0)) + F.coalesce((~(small & light) & (amount * weight).isNotNull()).cast("int"), F.lit(0))
+    signed = lambda x: F.when(by > 0, x).otherwise(-x)
+    return exposure.groupBy(*groups).agg(
+        F.sum(by.cast("bigint")).alias("_n"),
+        *_addends(small, signed(a), signed(amount), "_amount"),
+        *_addends(small & light, signed((a * w).cast(ADDEND)), signed(amount * weight), "_rwa"),
+        F.sum((odd * by).cast("bigint")).alias("_odds"),
+        F.sum(odd.cast("bigint")).alias("_moved"),
+    )
+
+
+def added_states(states: DataFrame, groups: Sequence[str] = RWA_GROUPS) -> DataFrame:
+    """States of parts summed up. Without odd values left, their sum is none."""
+    summed = states.groupBy(*groups).agg(
+        F.sum("_n").alias("_n"), *_added("_amount"), *_added("_rwa"),
+        F.sum("_odds").alias("_odds"), F.sum("_moved").alias("_moved"),
+    )
+    clean = F.col("_odds") == 0
+    return summed.withColumns(
+        {c: F.when(~clean, F.col(c)) for c in ("_amount_odd", "_rwa_odd")}
+    )
+
+
+def rwa_of(state: DataFrame, groups: Sequence[str] = RWA_GROUPS) -> DataFrame:
+    """The rollup from its state."""
+    return state.filter("_n > 0").select(*_totals(groups))
+
+
 def rwa_by_segment(
     exposure: DataFrame,
     counterparty: DataFrame,

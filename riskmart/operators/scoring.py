@@ -57,13 +57,19 @@ def score_table(
 
     ``by`` scores several snapshots held in one table in the same pass.
     """
+    by = list(by)
+    rules, narrow, flags, keys, days = _conditions(df.schema, rules)
+    narrow = [f"`{c}`" for c in by] + narrow
+    totals = _totals(df.selectExpr(*narrow), by, list(keys.values()), list(days.values()), flags)
+    return _unpivot(totals, source, rules, by, keys, days)
+
+
+def _conditions(schema: T.StructType, rules: Sequence[R.Rule]) -> tuple:
+    """The rules as columns: all of them, then the names of flags, keys and days among them."""
     rules = list(rules)
     if not rules:
         raise ValueError("at least one rule is needed")
-    schema = df.schema
-    by = list(by)
-
-    narrow = [f"`{c}`" for c in by]
+    narrow: list[str] = []
     flags: list[str] = []
     keys: dict[int, list[str]] = {}
     days: dict[int, str] = {}
@@ -82,9 +88,60 @@ def score_table(
                 flags.append(f"_in{i}")
             narrow.append(f"{failed} AS _bad{i}")
             flags.append(f"_bad{i}")
+    return rules, narrow, flags, keys, days
 
-    totals = _totals(df.selectExpr(*narrow), by, list(keys.values()), list(days.values()), flags)
-    return _unpivot(totals, source, rules, by, keys, days)
+
+def mergeable(rules: Sequence[R.Rule], key: Sequence[str]) -> bool:
+    """Whether the scores of a table that is unique on ``key`` follow from ``score_parts``."""
+    return all(set(key) <= set(r.key) for r in rules if isinstance(r, R.Unique))
+
+
+PARTS = "part string, rule int, day date, n bigint"
+
+
+def score_parts(df: DataFrame, rules: Sequence[R.Rule], sign: str | None = None) -> DataFrame:
+    """What the scores are made of, in numbers that add up: rows, failures and samples per rule,
+    rows per calendar day of self-anchored dates.
+
+    ``sign`` names a column of 1 and -1 for rows that come and go: parts of what changed, added to
+    those of before, are those of now. One scan, and a further one for each date after the first.
+    """
+    rules, narrow, flags, _, days = _conditions(df.schema, rules)
+    narrow = [*narrow, f"{'1' if sign is None else sign} AS _by"]
+    base, days_left = df.selectExpr(*narrow), list(days.items())
+    counts = [F.expr("sum(CAST(_by AS bigint)) AS _n")]
+    counts += [F.expr(f"sum(CAST(IF({f}, _by, 0) AS bigint)) AS {f}") for f in flags]
+    entries = ["named_struct('part', 'rows', 'rule', -1, 'day', CAST(NULL AS date), 'n', _n)"]
+    for f in flags:
+        part, i = ("bad", f[4:]) if f.startswith("_bad") else ("in", f[3:])
+        entries.append(f"named_struct('part', '{part}', 'rule', {i}, 'day', CAST(NULL AS date), 'n', {f})")
+    first = days_left[:1]
+    with_day = [f"named_struct('part', 'day', 'rule', {i}, 'day', {d}, 'n', _n)" for i, d in first]
+    out = base.groupBy(*[d for _, d in first]).agg(*counts).selectExpr(f"inline(array({', '.join(entries + with_day)}))")
+    for i, d in days_left[1:]:
+        more = base.groupBy(d).agg(counts[0])
+        out = out.unionByName(more.selectExpr("'day' AS part", f"{i} AS rule", f"{d} AS day", "_n AS n"))
+    return added_parts(out.filter("part <> 'day' OR day IS NOT NULL"))
+
+
+def added_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("part", "rule", "day").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
+def scores_of(parts: DataFrame, schema: T.StructType, source: str, rules: Sequence[R.Rule]) -> DataFrame:
+    """``score_table`` from the parts of a table whose rows are unique on its key."""
+    rules, _, flags, keys, days = _conditions(schema, rules)
+    out = ["sum(IF(part = 'rows', n, 0L)) AS _n"]
+    for f in flags:
+        part, i = ("bad", f[4:]) if f.startswith("_bad") else ("in", f[3:])
+        out.append(f"sum(IF(part = '{part}' AND rule = {i}, n, 0L)) AS {f}")
+    out += [f"0L AS _dup{names[0]}" for names in keys.values()]
+    for i, d in days.items():
+        mine = f"part = 'day' AND rule = {i}"
+        # At most one entry per calendar day, so the array is bounded by the date type.
+        out.append(f"collect_list(IF({mine}, named_struct('day', day, 'n', n), NULL)) AS _hist{d}")
+        out.append(f"max(IF({mine}, day, NULL)) AS _max{d}")
+    return _unpivot(parts.agg(*_exprs(out)), source, rules, [], keys, days)
 
 
 def _exprs(texts: Sequence[str]) -> list[Column]:

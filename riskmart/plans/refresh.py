@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from riskmart.plans.conform import update_silver
-from riskmart.plans.marts import build_gold
+from riskmart.plans.marts import update_gold
 from riskmart.sources.landing import land
 from riskmart.sources.tables import FORMAT
 
@@ -25,5 +25,5 @@ def refresh(
     return {
         "bronze": land(spark, source_dir, f"{root}/bronze", **land_options),
         "silver": update_silver(spark, f"{root}/bronze", f"{root}/silver", fmt=fmt),
-        "gold": build_gold(spark, f"{root}/silver", f"{root}/gold", snapshot_ts, fmt),
+        "gold": update_gold(spark, f"{root}/silver", f"{root}/gold", snapshot_ts, fmt),
     }
