@@ -10,6 +10,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart import model
 from riskmart.operators.rollups import RWA_GROUPS, added_states, rwa_of, rwa_rollup, rwa_state
@@ -28,7 +29,10 @@ from riskmart.sources.buckets import (
 )
 from riskmart.sources.tables import (
     FORMAT,
+    Expect,
+    Rejected,
     drop_path,
+    publish,
     read_table,
     replace_table,
     table_exists,
@@ -70,9 +74,11 @@ def append_snapshot(spark: SparkSession, card: DataFrame, gold_root: str, fmt: s
 
 def gathered(card: DataFrame) -> DataFrame:
     """The rows of a scorecard by rule, computed once. A row per rule and snapshot, so few."""
-    text = card.withColumn("snapshot_ts", F.unix_micros("snapshot_ts"))
-    rows = card.sparkSession.createDataFrame(text.collect(), text.schema)
-    return rows.withColumn("snapshot_ts", F.timestamp_micros("snapshot_ts")).select(*card.columns)
+    local = isinstance(card.schema["snapshot_ts"].dataType, T.TimestampType)
+    # Instants travel as numbers, so that no time zone of the driver's has a say.
+    plain = card.withColumn("snapshot_ts", F.unix_micros("snapshot_ts")) if local else card
+    rows = card.sparkSession.createDataFrame(plain.collect(), plain.schema)
+    return rows.withColumn("snapshot_ts", F.timestamp_micros("snapshot_ts")) if local else rows
 
 
 def scorecard_history(
@@ -97,10 +103,12 @@ def build_gold(
     gold_root: str,
     snapshot_ts: datetime | None = None,
     fmt: str = FORMAT,
+    expect: Expect | None = None,
 ) -> dict[str, int]:
     """Replace the rollup, append one scorecard snapshot; rows written, per table.
 
-    A snapshot that is there already, as after a rerun with the same time, is not added again.
+    A snapshot that is there already, as after a rerun with the same time, is not added again. A
+    rollup that is not as expected is not published.
     """
     present = {
         s: read_table(spark, silver_root, s, fmt)
@@ -110,8 +118,10 @@ def build_gold(
     stamp = snapshot_ts or datetime.now(tz=UTC)
     jobs = {}
     if "exposure" in present:
-        jobs[model.RWA_TABLE] = lambda: write_table(
-            rwa_rollup(present["exposure"]), gold_root, model.RWA_TABLE, "overwrite", fmt
+        # What the changes of later merges are added to is no longer what is published.
+        drop_path(spark, table_path(gold_root, RWA_NOTE))
+        jobs[model.RWA_TABLE] = lambda: publish(
+            rwa_rollup(present["exposure"]), gold_root, model.RWA_TABLE, expect, fmt
         )
     if present:
         jobs[model.SCORECARD_TABLE] = lambda: append_snapshot(
@@ -133,6 +143,7 @@ def update_gold(
     snapshot_ts: datetime | None = None,
     fmt: str = FORMAT,
     buckets: int = BUCKETS,
+    expect: Expect | None = None,
 ) -> dict[str, int]:
     """``build_gold`` from what has changed in the conformed tables since the last time.
 
@@ -143,7 +154,9 @@ def update_gold(
     stamp = snapshot_ts or datetime.now(tz=UTC)
     jobs = {}
     if "exposure" in held:
-        jobs[model.RWA_TABLE] = lambda: update_rwa(spark, silver_root, gold_root, held["exposure"], fmt, buckets)
+        jobs[model.RWA_TABLE] = lambda: update_rwa(
+            spark, silver_root, gold_root, held["exposure"], fmt, buckets, expect
+        )
     if any(s in held for s in model.SCORECARD_RULES):
         jobs[model.SCORECARD_TABLE] = lambda: append_snapshot(
             spark, updated_scores(spark, silver_root, gold_root, held, fmt).withColumn("snapshot_ts", F.lit(stamp)).select(
@@ -160,8 +173,9 @@ def update_rwa(
     held: Covered,
     fmt: str = FORMAT,
     buckets: int = BUCKETS,
+    expect: Expect | None = None,
 ) -> int:
-    """Bring the rollup up to its exposures; rows it has.
+    """Bring the rollup up to its exposures; rows it has. If they are not as expected, nothing is replaced.
 
     Only buckets with cells that changed are read and replaced. What the rollup covers is noted
     last; after a run that died while replacing buckets, it is built in full.
@@ -200,6 +214,12 @@ def update_rwa(
         state = sums.filter("_odds = 0 OR _moved = 0").unionByName(rwa_state(exposure.join(again, same, "left_semi")))
         write_table(state, aside, "state", "overwrite", "parquet")
         state = read_table(spark, aside, "state", "parquet")
+    if expect is not None:
+        try:
+            expect.audit(model.RWA_TABLE, kept + state.filter("_n > 0").count())
+        except Rejected:
+            drop_path(spark, aside)
+            raise
     if touched is None or touched:
         mark_torn(spark, gold_root, model.RWA_TABLE, touched or [])
         state = state.withColumn("_moved", F.lit(0).cast("bigint"))

@@ -43,6 +43,17 @@ cl AS (
 """
 
 
+# Exposures after a correction of every other one.
+MOVED = """
+moved AS (
+  SELECT * REPLACE (
+    CASE WHEN odd THEN amount_eur + 1 ELSE amount_eur END AS amount_eur,
+    CASE WHEN odd THEN 'LOAN' ELSE exposure_type END AS exposure_type,
+    CASE WHEN odd THEN as_of_date + 1 ELSE as_of_date END AS as_of_date)
+  FROM (SELECT *, exposure_id[-1] IN ('1', '3', '5', '7', '9') AS odd FROM ex))
+"""
+
+
 def _draw(key: str, purpose: str) -> str:
     return f"CAST('0x' || substr(md5({key} || ':42:{purpose}'), 1, 8) AS BIGINT)"
 
@@ -568,6 +579,14 @@ SELECT CASE WHEN event_type IN ('error', 'signup', 'click') THEN 'rejected' ELSE
         "same AS (SELECT * REPLACE (TIMESTAMP '2026-01-01 00:00:00' AS silver_loaded_at) FROM cl)",
         f"one AS ({_latest('same', 'collateral_id', CL_REST)})",
     ),
+    "refresh_changes_rwa": _with(f"SELECT {CELL}, {EXACT} FROM moved GROUP BY {CELL}", MOVED),
+    "refresh_changes_scorecard": _with(
+        f"SELECT {SCORE_NAMES} FROM ({_card('cp', 'moved', 'one')})",
+        MOVED,
+        "same AS (SELECT * REPLACE (TIMESTAMP '2026-01-01 00:00:00' AS silver_loaded_at) FROM cl)",
+        f"one AS ({_latest('same', 'collateral_id', CL_REST)})",
+    ),
+    "refresh_rejects_empty": _with("SELECT * FROM rwa", RWA),
     "scorecard_many_rules": _with(
         _drift(_many_rules("ex", "cl"), _many_rules("dx", "dl"), by_rule=True), DAMAGED
     ),

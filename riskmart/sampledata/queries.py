@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import UTC, date, datetime
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -922,6 +922,49 @@ def refresh_twice(spark, sf_dir):
     )
 
 
+CHANGE_TIMES = (datetime(2026, 1, 31, tzinfo=UTC), datetime(2026, 2, 28, tzinfo=UTC))
+
+
+def _after_changes(spark, sf_dir) -> str:
+    """A lake after a first delivery and a second one that corrects every other exposure."""
+    base = scratch_dir(spark, "changes")
+    _write_sources(spark, sf_dir, f"{base}/in")
+    refresh(spark, f"{base}/in", f"{base}/lake", CHANGE_TIMES[0], layout="folders")
+    odd = views.exposure(spark, sf_dir).filter(F.substring("exposure_id", -1, 1).isin("1", "3", "5", "7", "9"))
+    odd = odd.withColumns(
+        {"amount_eur": F.col("amount_eur") + 1, "exposure_type": F.lit("LOAN"), "as_of_date": F.expr("date_add(as_of_date, 1)")}
+    )
+    files.write_csv(views.as_text(odd, "exposure"), f"{base}/in2/exposure", list(model.COLUMNS["exposure"]))
+    refresh(spark, f"{base}/in2", f"{base}/lake", CHANGE_TIMES[1], layout="folders")
+    return f"{base}/lake"
+
+
+@query
+def refresh_changes_rwa(spark, sf_dir):
+    """The rollup after corrections, brought up by what they took away and brought."""
+    return tables.read_table(spark, f"{_after_changes(spark, sf_dir)}/gold", model.RWA_TABLE)
+
+
+@query
+def refresh_changes_scorecard(spark, sf_dir):
+    """The scores after corrections, from parts that were added to."""
+    card = tables.read_table(spark, f"{_after_changes(spark, sf_dir)}/gold", model.SCORECARD_TABLE)
+    return reports.without_rules(card.filter(F.col("snapshot_ts") == F.lit(CHANGE_TIMES[1]))).drop("snapshot_ts")
+
+
+@query
+def refresh_rejects_empty(spark, sf_dir):
+    """A rollup without rows is not published: the one before stays."""
+    base = scratch_dir(spark, "rejects")
+    for root, rows in ((f"{base}/silver", views.exposure(spark, sf_dir)), (f"{base}/empty", views.exposure(spark, sf_dir).limit(0))):
+        tables.write_table(rows, root, "exposure", "overwrite")
+        try:
+            marts.build_gold(spark, root, f"{base}/gold", CHANGE_TIMES[0], expect=tables.Expect())
+        except tables.Rejected:
+            pass
+    return tables.read_table(spark, f"{base}/gold", model.RWA_TABLE)
+
+
 @query
 def catalog_tables(spark, sf_dir):
     """Files registered under catalog names (twice, which changes nothing), then read by name."""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,37 @@ def write_table(
     return rows
 
 
+@dataclass(frozen=True)
+class Expect:
+    """How many rows a table must have to be published."""
+
+    at_least: int = 1
+    at_most: int | None = None
+
+    def audit(self, name: str, rows: int) -> None:
+        if rows < self.at_least or (self.at_most is not None and rows > self.at_most):
+            raise Rejected(f"{name}: {rows} rows, expected {self.at_least} to {self.at_most or 'any number'}")
+
+
+class Rejected(ValueError):
+    """A table was built, found wanting and not published; what was there before stays."""
+
+
+def publish(
+    df: DataFrame, root: str, name: str, expect: Expect | None = None, fmt: str = FORMAT
+) -> int:
+    """Write a table beside its place, count it, and put it there only if it is as expected."""
+    spark, aside = df.sparkSession, f"{root.rstrip('/')}/_next-{uuid.uuid4().hex}"
+    try:
+        rows = write_table(df, aside, name, "overwrite", fmt)
+        if expect is not None:
+            expect.audit(name, rows)
+        replace_table(spark, aside, root, name)
+    finally:
+        drop_path(spark, aside)
+    return rows
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     fs, where = _locate(spark, path)
     fs.delete(where, True)

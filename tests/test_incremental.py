@@ -153,3 +153,22 @@ def test_the_rollup_is_rebuilt_after_a_run_that_died(lake, spark):
     assert rows_of(rwa) == rows_of(rollups.rwa_rollup(tables.read_table(spark, silver, "exposure")))
     assert buckets.torn_buckets(spark, gold, model.RWA_TABLE) == []
     assert tables.read_table(spark, gold, model.SCORECARD_TABLE).count() == 4
+
+
+def test_an_unexpected_rollup_is_not_published(lake, spark):
+    silver, gold = f"{lake.root}/silver", f"{lake.root}/gold"
+    lake.deliver(exposure=DELIVERIES[0])
+    lake.update()
+    marts.update_gold(spark, silver, gold, STAMP, expect=tables.Expect())
+    before = rows_of(tables.read_table(spark, gold, model.RWA_TABLE))
+    lake.deliver(exposure=DELIVERIES[1])
+    lake.update()
+    with pytest.raises(tables.Rejected):
+        marts.update_gold(spark, silver, gold, STAMP, expect=tables.Expect(at_most=3))
+    with pytest.raises(tables.Rejected):
+        marts.build_gold(spark, silver, gold, STAMP, expect=tables.Expect(at_least=1000))
+    assert rows_of(tables.read_table(spark, gold, model.RWA_TABLE)) == before
+    assert not [n for n in files.child_names(spark, gold) if n.startswith("_next")]
+    marts.update_gold(spark, silver, gold, STAMP, expect=tables.Expect())
+    now = tables.read_table(spark, silver, "exposure")
+    assert rows_of(tables.read_table(spark, gold, model.RWA_TABLE)) == rows_of(rollups.rwa_rollup(now))
