@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from riskmart.llm.common import empty_as, fresh_name, pieces, quoted, records, release, scratch, ship, written
 from riskmart.llm.components import connected
 from riskmart.llm.shingles import shingle_sets
+from riskmart.llm.tokens import forget
 
 SIZE, NUM, DEN = 5, 4, 5
 
@@ -65,6 +66,7 @@ def set_id(tokens: np.ndarray) -> int:
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int | None, np.ndarray]]:
     """(first column, set) for rows of an id and a text."""
+    forget()
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
             some = batch.slice(at, ROWS)

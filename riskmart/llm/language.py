@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from riskmart.llm.common import append_column, fresh_name, quoted, ship, with_column_type
 from riskmart.llm.common import pieces as cut_list
+from riskmart.llm.tokens import forget
 
 MAX_N = 3
 BUCKETS = 1 << 16
@@ -167,6 +168,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
+        forget()
         for batch in batches:
             for a in range(0, batch.num_rows, ROWS_AT_ONCE):
                 some = batch.slice(a, ROWS_AT_ONCE)
@@ -231,6 +233,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", reject: bool = F
     position = docs.columns.index(text)
 
     def scored_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for a in range(0, batch.num_rows, ROWS_AT_ONCE):
                 some = batch.slice(a, ROWS_AT_ONCE)

@@ -7,6 +7,8 @@ characters whose class every Unicode version agrees on; any other text goes to t
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from array import array
 
@@ -98,3 +100,16 @@ def encoder(vocabulary: str) -> Encoder:
     if vocabulary not in _ENCODERS:
         _ENCODERS[vocabulary] = Encoder(vocabulary)
     return _ENCODERS[vocabulary]
+
+
+def forget() -> None:
+    """Give the memory of encoders back. A worker serves one operator after the other, and what the
+    last one kept counts against the next."""
+    if not _ENCODERS:
+        return
+    _ENCODERS.clear()
+    gc.collect()
+    # Where the C library has it, hand freed pages back to the system.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
