@@ -378,11 +378,14 @@ def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
     first = members.filter("n_shingles > 0").groupBy(F.col("component_id").alias("c")).agg(F.min(F.struct("id", "key")).alias("first"))
     chosen = members.join(first, F.col("component_id") == F.col("c"), "left")
     chosen = chosen.filter((F.col("n_shingles") == 0) | (F.col("key") == F.col("first")["key"]))
-    kept, kept_at = scratch(
-        chosen.select("key", ((F.col("rows") > 1) & (F.col("n_shingles") > 0)).alias("again")).distinct(), "jaccard-kept"
-    )
+    again = (F.col("rows") > 1) & (F.col("n_shingles") > 0)
+    kept = written(chosen.select("key", again.alias("again")).distinct(), "jaccard-kept")
+    # Joined with the rows that go, which are fewer than those that stay, so that Spark's size check
+    # may spare the texts a shuffle.
+    gone = members.select("key").distinct().join(kept.select("key"), "key", "left_anti")
+    gone = written(gone.unionByName(kept.filter("again").select("key")), "jaccard-gone")
     own = [quoted(c) for c in docs.columns]
-    once = keyed.join(kept.filter("NOT again"), F.col(key) == F.col("key"), "left_semi").select(*own)
+    once = keyed.join(gone, F.col(key) == F.col("key"), "left_anti").select(*own)
     if kept.filter("again").isEmpty():
         return once
     number = fresh_name(keyed, "number")
