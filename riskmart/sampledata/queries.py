@@ -799,14 +799,12 @@ def _outcomes(spark, root) -> DataFrame:
     rejects = landing.read_rejects(spark, root).select(
         F.lit("rejected").alias("outcome"), F.element_at(F.split("line", ","), 3).alias("event_type"), "line_number"
     )
-    log = landing.read_log(spark, root).agg(
-        F.sum("row_count").alias("logged_rows"), F.sum("reject_count").alias("logged_rejects")
-    )
+    logged = landing.read_log(spark, root).agg(F.sum("row_count"), F.sum("reject_count")).first()
     return (
         landed.unionByName(rejects)
         .groupBy("outcome", "event_type")
         .agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("line_number").isNull()).alias("unplaced"))
-        .crossJoin(F.broadcast(log))  # one row
+        .withColumns({"logged_rows": F.lit(logged[0]).cast("bigint"), "logged_rejects": F.lit(logged[1]).cast("bigint")})
     )
 
 
