@@ -39,6 +39,7 @@ from riskmart.sources.tables import (
     table_path,
     write_table,
 )
+from riskmart.sources.versions import publish_version
 
 SCORECARD_COLUMNS = model.SCORECARD_SCHEMA.fieldNames()
 SCORE_KEY = ("snapshot_ts", "source", "dimension", "rule")
@@ -104,9 +105,13 @@ def build_gold(
     snapshot_ts: datetime | None = None,
     fmt: str = FORMAT,
     expect: Expect | None = None,
+    database: str | None = None,
 ) -> dict[str, int]:
     """Replace the rollup, append one scorecard snapshot; rows written, per table.
 
+    With a ``database`` the rollup is published there by name (``publish_version``), so that readers of the
+    name run through a rebuild; its files then lie with the versions, not under the table's own path.
+
     A snapshot that is there already, as after a rerun with the same time, is not added again. A
     rollup that is not as expected is not published.
     """
@@ -120,9 +125,14 @@ def build_gold(
     if "exposure" in present:
         # What the changes of later merges are added to is no longer what is published.
         drop_path(spark, table_path(gold_root, RWA_NOTE))
-        jobs[model.RWA_TABLE] = lambda: publish(
-            rwa_rollup(present["exposure"]), gold_root, model.RWA_TABLE, expect, fmt
-        )
+        if database is None:
+            jobs[model.RWA_TABLE] = lambda: publish(
+                rwa_rollup(present["exposure"]), gold_root, model.RWA_TABLE, expect, fmt
+            )
+        else:
+            jobs[model.RWA_TABLE] = lambda: publish_version(
+                rwa_rollup(present["exposure"]), gold_root, database, model.RWA_TABLE, expect, fmt
+            )
     if present:
         jobs[model.SCORECARD_TABLE] = lambda: append_snapshot(
             spark, scorecard(present, stamp, by_rule=True), gold_root, fmt

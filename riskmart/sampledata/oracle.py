@@ -612,6 +612,9 @@ FROM events GROUP BY event_type""",
         "SELECT layer, table_name, row_count FROM counts", SILVER, RWA, f"card AS ({_card('cp', 'ex', 'cl')})", COUNTS
     ),
     "catalog_tables": _with("SELECT * FROM rwa", RWA),
+    "catalog_rebuild": _with(
+        "SELECT *, 'before' AS version FROM rwa WHERE exposure_count = 1 UNION ALL SELECT *, 'after' FROM rwa", RWA
+    ),
     "layer_counts": f"WITH {ALL_LAYERS} SELECT * FROM counts",
     "layer_totals": f"WITH {ALL_LAYERS} SELECT layer, CAST(sum(row_count) AS BIGINT) AS row_count, count(*) AS tables FROM counts GROUP BY layer",
     "report_document": HISTORY
@@ -623,4 +626,6 @@ FROM events GROUP BY event_type""",
     "source || '.' || dimension, score FROM ranked "
     "UNION ALL SELECT 'rwa_top', lei || '|' || exposure_type || '|' || CAST(as_of_date AS VARCHAR), 'total_rwa_eur', total_rwa_eur FROM top",
 }
+ORACLE["orphans_by_filter"] = ORACLE["rule_orphan_collateral"]
+ORACLE["covered_by_filter"] = ORACLE["covered_exposure"]
 ORACLE["report_export"] = ORACLE["report_document"]

@@ -13,13 +13,13 @@ from pyspark.sql import types as T
 from riskmart import model
 from riskmart.functions.casts import lenient
 from riskmart.functions.display import euro, percent, severity
-from riskmart.operators import defects, latest, references, rollups, scoring, skew
+from riskmart.operators import defects, latest, membership, references, rollups, scoring, skew
 from riskmart.operators import rules as R
 from riskmart.plans import conform, marts, reports
 from riskmart.plans.refresh import refresh
 from riskmart.sampledata import views
 from riskmart.session import scratch_dir, together
-from riskmart.sources import files, landing, tables
+from riskmart.sources import files, landing, tables, versions
 from riskmart.streaming.landing import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -614,6 +614,23 @@ def covered_exposure(spark, sf_dir):
     return good.select("exposure_id", "lei")
 
 
+@query
+def orphans_by_filter(spark, sf_dir):
+    """Orphans, most of them told by the key filter alone."""
+    bad = membership.orphans_filtered(
+        _damaged_collateral(spark, sf_dir), views.exposure(spark, sf_dir), "exposure_id"
+    )
+    return bad.select("collateral_id", "exposure_id", "value_eur")
+
+
+@query
+def covered_by_filter(spark, sf_dir):
+    good = membership.referenced_filtered(
+        views.exposure(spark, sf_dir), views.collateral(spark, sf_dir), "exposure_id"
+    )
+    return good.select("exposure_id", "lei")
+
+
 @query
 def reference_scores(spark, sf_dir):
     ex = views.exposure(spark, sf_dir)
@@ -976,6 +993,19 @@ def catalog_tables(spark, sf_dir):
     return spark.table(f"{db}.{model.RWA_TABLE}")
 
 
+@query
+def catalog_rebuild(spark, sf_dir):
+    """A rollup replaced under its name: who began before reads the old one, who begins after the new."""
+    base = scratch_dir(spark, "rebuild")
+    db = f"riskmart_{base.rsplit('-', 1)[-1][:12]}"
+    whole = _rwa(spark, sf_dir)
+    versions.publish_version(whole.filter("exposure_count = 1"), base, db, model.RWA_TABLE)
+    before = spark.table(f"{db}.{model.RWA_TABLE}")
+    versions.publish_version(whole, base, db, model.RWA_TABLE, tables.Expect())
+    after = spark.table(f"{db}.{model.RWA_TABLE}")
+    return before.withColumn("version", F.lit("before")).unionByName(after.withColumn("version", F.lit("after")))
+
+
 # --- counts and the report -----------------------------------------------------------------
 
 
