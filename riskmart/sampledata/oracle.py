@@ -629,3 +629,4 @@ FROM events GROUP BY event_type""",
 ORACLE["orphans_by_filter"] = ORACLE["rule_orphan_collateral"]
 ORACLE["covered_by_filter"] = ORACLE["covered_exposure"]
 ORACLE["report_export"] = ORACLE["report_document"]
+ORACLE["report_by_parts"] = ORACLE["report_document"]

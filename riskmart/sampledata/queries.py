@@ -15,7 +15,7 @@ from riskmart.functions.casts import lenient
 from riskmart.functions.display import euro, percent, severity
 from riskmart.operators import defects, latest, membership, references, rollups, scoring, skew
 from riskmart.operators import rules as R
-from riskmart.plans import conform, marts, reports
+from riskmart.plans import conform, marts, report_parts, reports
 from riskmart.plans.refresh import refresh
 from riskmart.sampledata import views
 from riskmart.session import scratch_dir, together
@@ -1062,3 +1062,15 @@ def report_export(spark, sf_dir):
     document = _document(spark, sf_dir)
     files.write_json(document, path)
     return reports.flatten_document(spark.read.schema(document.schema).json(path))
+
+
+@query
+def report_by_parts(spark, sf_dir):
+    """The report in parts: the earliest snapshot first, then all, which adds the others' lines only."""
+    folder = scratch_dir(spark, "parts")
+    layers, history = _layers(spark, sf_dir), _written_history(spark, sf_dir)
+    rwa, counts = layers["gold"][model.RWA_TABLE], reports.table_counts(layers)
+    first = history.agg(F.min("snapshot_ts").alias("snapshot_ts"))
+    report_parts.append_snapshots(history.join(F.broadcast(first), "snapshot_ts", "left_semi"), folder)
+    report_parts.write_parts(counts, history, rwa, folder)
+    return report_parts.flatten_parts(spark, folder, rwa.schema)
