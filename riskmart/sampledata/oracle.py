@@ -556,6 +556,11 @@ SELECT CASE WHEN event_type IN ('error', 'signup', 'click') THEN 'rejected' ELSE
        event_type, count(*) AS row_count FROM events GROUP BY event_type""",
     "ingest_bad_lines": BAD_LINES,
     "stream_bad_lines": BAD_LINES,
+    "stream_added_column": """
+SELECT event_type AS what, count(*) AS row_count, count(props) FILTER (event_id % 3 = 1) AS props_count, count(ts) AS ts_count
+FROM events WHERE event_id % 3 < 2 GROUP BY event_type
+UNION ALL SELECT 'orders ' || o_orderstatus, count(*), 0, 0 FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'events: missing ts', 0, 0, 0""",
     "ingest_batch_sizes": _with(
         "SELECT n AS files_per_batch, count(*) AS row_count, "
         "CAST(sum(CAST(value_eur * 2 AS DECIMAL(18,2))) AS DOUBLE) AS total_value "

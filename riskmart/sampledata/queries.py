@@ -20,6 +20,7 @@ from riskmart.plans.refresh import refresh
 from riskmart.sampledata import views
 from riskmart.session import scratch_dir, together
 from riskmart.sources import files, landing, tables, versions
+from riskmart.streaming.evolving import land_evolving, read_evolved, read_set_aside
 from riskmart.streaming.landing import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -844,6 +845,31 @@ def stream_bad_lines(spark, sf_dir):
     return _outcomes(spark, f"{base}/bronze")
 
 
+@query
+def stream_added_column(spark, sf_dir):
+    """Three deliveries of events: without ``props``, with it, and without the required ``ts``; orders beside them."""
+    base = scratch_dir(spark, "added-column")
+    events = views.table(spark, sf_dir, "events")
+    text = events.select(*[F.col(c).cast("string") for c in ("event_id", "ts", "event_type", "value", "props")])
+    orders = views.table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS string) AS o_orderkey", "o_orderstatus")
+    forms = (("event_id", "ts", "event_type", "value"), tuple(text.columns), ("event_id", "event_type", "value"))
+    for i, columns in enumerate(forms):
+        part = text.filter(F.col("event_id").cast("bigint") % 3 == i)
+        files.write_csv(part, f"{base}/in/events", columns, mode="append")
+        files.write_csv(orders.filter(F.col("o_orderkey").cast("bigint") % 3 == i), f"{base}/in/orders", orders.columns, mode="append")
+        land_evolving(spark, f"{base}/in", f"{base}/bronze")
+    landed = read_evolved(spark, f"{base}/bronze", "events").groupBy(F.col("event_type").alias("what")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("props").alias("props_count"), F.count("ts").alias("ts_count")
+    )
+    others = read_evolved(spark, f"{base}/bronze", "orders").groupBy(F.concat(F.lit("orders "), "o_orderstatus").alias("what")).agg(
+        *[F.count(F.lit(1) if n == "row_count" else F.lit(None)).alias(n) for n in ("row_count", "props_count", "ts_count")]
+    )
+    reasons = read_set_aside(spark, f"{base}/bronze").select(F.concat("table_name", F.lit(": "), "reason").alias("what")).distinct()
+    zero = F.lit(0).cast("bigint")
+    aside = reasons.select("what", zero.alias("row_count"), zero.alias("props_count"), zero.alias("ts_count"))
+    return landed.unionByName(others).unionByName(aside)
+
+
 @query
 def ingest_batch_sizes(spark, sf_dir):
     """Two versions of every row in one run: which one stays doesn't depend on batches."""
