@@ -556,6 +556,15 @@ SELECT CASE WHEN event_type IN ('error', 'signup', 'click') THEN 'rejected' ELSE
        event_type, count(*) AS row_count FROM events GROUP BY event_type""",
     "ingest_bad_lines": BAD_LINES,
     "stream_bad_lines": BAD_LINES,
+    "ingest_open_folders": """
+WITH o AS (
+  SELECT *, strftime(o_orderdate, '%Y') AS year,
+         strftime(o_orderdate, '%Y') >= '2000' OR (strftime(o_orderdate, '%Y') = '1996' AND o_orderstatus = 'O') AS late FROM orders
+)
+SELECT year, count(*) AS row_count, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
+       count(*) FILTER (NOT late) > 0 AS listed_first,
+       count(*) FILTER (late) > 0 OR year = (SELECT max(year) FROM o WHERE NOT late) AS listed_second
+FROM o GROUP BY year""",
     "stream_added_column": """
 SELECT event_type AS what, count(*) AS row_count, count(props) FILTER (event_id % 3 = 1) AS props_count, count(ts) AS ts_count
 FROM events WHERE event_id % 3 < 2 GROUP BY event_type

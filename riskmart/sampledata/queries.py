@@ -19,7 +19,7 @@ from riskmart.plans import conform, marts, report_parts, reports
 from riskmart.plans.refresh import refresh
 from riskmart.sampledata import views
 from riskmart.session import scratch_dir, together
-from riskmart.sources import files, landing, tables, versions
+from riskmart.sources import files, landing, listing, tables, versions
 from riskmart.streaming.evolving import land_evolving, read_evolved, read_set_aside
 from riskmart.streaming.landing import land_stream
 
@@ -870,6 +870,30 @@ def stream_added_column(spark, sf_dir):
     return landed.unionByName(others).unionByName(aside)
 
 
+@query
+def ingest_open_folders(spark, sf_dir):
+    """Orders delivered by year, in two runs: later years and late files of one; only folders that are open are listed."""
+    base = scratch_dir(spark, "open-folders")
+    orders = views.table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy").alias("year"), F.col("o_orderkey").cast("string"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("o_totalprice"), "o_orderstatus",
+    )
+    years = []
+    for late in (False, True):
+        part = orders.filter(((F.col("year") >= "2000") | ((F.col("year") == "1996") & (F.col("o_orderstatus") == "O"))) == late)
+        part.write.partitionBy("year").mode("append").option("header", True).csv(f"{base}/in/orders")
+        found = listing.open_folders(spark, f"{base}/in", f"{base}/bronze", settle_seconds=0)
+        years.append([f.period.removeprefix("year=") for f in found])
+        landing.land(spark, f"{base}/in", f"{base}/bronze", layout="periods", settle_seconds=0)
+    landed = landing.read_landed(spark, f"{base}/bronze", "orders").select(
+        F.regexp_extract("_source_file", "year=([0-9]+)/", 1).alias("year"), lenient("o_totalprice", "decimal(18,2)").alias("price")
+    )
+    sums = landed.groupBy("year").agg(F.count(F.lit(1)).alias("row_count"), F.sum("price").cast("double").alias("total_price"))
+    # A row per period folder.
+    listed = [F.array_contains(F.array(*[F.lit(y) for y in seen]), F.col("year")) for seen in years]
+    return sums.select("*", listed[0].alias("listed_first"), listed[1].alias("listed_second"))
+
+
 @query
 def ingest_batch_sizes(spark, sf_dir):
     """Two versions of every row in one run: which one stays doesn't depend on batches."""

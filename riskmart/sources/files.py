@@ -21,7 +21,7 @@ FILE_NAME = (
     "url_decode(replace(_metadata.file_name, '+', '%2B')), _metadata.file_name)"
 )
 
-LAYOUTS = ("flat", "folders")
+LAYOUTS = ("flat", "folders", "periods")
 
 # A listing of very many files is spread over this many tasks, not one per file.
 LISTING_TASKS = 200
@@ -63,12 +63,17 @@ def require_directory(spark: SparkSession, path: str) -> None:
 
 
 def list_files(
-    spark: SparkSession, source_dir: str, pattern: str = "*.csv", layout: str = "flat"
+    spark: SparkSession,
+    source_dir: str,
+    pattern: str = "*.csv",
+    layout: str = "flat",
+    within: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per matching file; contents are not read.
 
     ``flat``: ``<dir>/<table>.csv``, the file stem names the table. ``folders``:
-    ``<dir>/<table>/<any>.csv``, for tables delivered in many files.
+    ``<dir>/<table>/<any>.csv``, for tables delivered in many files. ``periods``:
+    ``<dir>/<table>/<period>/<any>.csv``. ``within`` names the only folders to look into.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
@@ -77,7 +82,7 @@ def list_files(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
-        .load(source_dir)
+        .load(source_dir if within is None else [_as_is(p) for p in within])
         .select(
             "path",
             F.col("modificationTime").alias("modified_at"),
@@ -88,6 +93,9 @@ def list_files(
     name, folder = F.element_at(parts, -1), F.element_at(parts, -2)
     if layout == "flat":
         table, identity = F.regexp_extract(name, r"^(.*)\.[^.]*$", 1), name
+    elif layout == "periods":
+        table = F.element_at(parts, -3)
+        identity = F.concat_ws("/", table, folder, name)
     else:
         table, identity = folder, F.concat(folder, F.lit("/"), name)
     # Only files at the depth of the layout; deeper folders are not part of the delivery.
