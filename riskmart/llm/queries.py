@@ -104,9 +104,9 @@ def op9_token_rollup_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = lambda some: rollup.counted_by_vocabulary(some, "byte_bpe_50k", default_vocabulary())
     docs = docs.select("doc_id", "source", "lang", "text")
     rollup.commit(ids(docs), state, "load")
-    poor = labels.filter("quality = 0").select(F.col("doc_id").alias("poor_id")).distinct()
-    again = ids(docs.withColumn("text", F.regexp_replace("text", "[0-9]+", " ")))
-    rollup.revise(again.join(poor, F.col("doc_id") == F.col("poor_id")).drop("poor_id"), state, "revise")
+    poor = labels.filter("quality = 0").select("doc_id")
+    revised = docs.withColumn("text", F.regexp_replace("text", "[0-9]+", " "))
+    rollup.revise(rollup.recounted(revised, poor, ids), state, "revise")
     rollup.delete(labels.filter("toxic = 1").select("doc_id"), state, "delete")
     return rollup.totals(spark, state)
 

@@ -1,10 +1,12 @@
 """Token totals by source, language and tokenizer version, kept up to date by signed changes.
 
-Every batch of changes is a folder: ``entries`` holds a signed row per document and version, and
-``totals`` their sums, which are all a reader needs. A batch is written aside and renamed into
-place, so it is there completely or not at all; a batch id that is there already is not applied
-again. Deletes and revisions name documents only: what they take back is looked up in the entries
-of earlier batches.
+Every batch of changes has ``entries``, a signed row per document and version, and ``totals``, their
+sums, which are all a reader needs. A writer claims its batch id first and ends the claim by a rename
+only one can make (``riskmart.sources.claims``): of several writers of one id one is applied, and a batch
+counts completely or not at all. Who finds an id claimed waits, and takes it over if its writer has shown
+no sign of life for a while. Deletes and revisions name documents only: what they take back is looked up
+in the entries of earlier batches, which lie in buckets of a hash of doc_id; only buckets of the named
+documents are read. Batches that take back the same documents must follow each other.
 
 Defined results: null sources and languages are groups of their own; a null text has no tokens;
 repeated rows count each; totals of zero documents and tokens are left out. Deleting what was
@@ -13,21 +15,28 @@ never inserted changes nothing.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import empty_as, fresh_name, quoted, ship, written
+from riskmart.llm.common import drop_folder, empty_as, fresh_name, quoted, ship, written
 from riskmart.llm.tokens import encoder
-from riskmart.sources.files import _locate, path_exists
+from riskmart.operators.membership import MAY, key_filter
+from riskmart.sources import claims
+from riskmart.sources.files import child_names
 
 ENTRY = "doc_id bigint, source string, lang string, tokenizer string, tokens bigint, sign int"
 TOTAL = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
 KEYS = ("source", "lang", "tokenizer")
 
+# Entries of a batch lie in so many folders, each written by several tasks, whatever one document has.
+BUCKETS = 64
+TASKS_PER_BUCKET = 4
+BUCKET = "bucket"
+
 WORDS = r"[^\x20\x09-\x0D]+"
 RUNS = r"[A-Za-z0-9]+"
 
@@ -70,53 +79,92 @@ def counted_by_vocabulary(docs: DataFrame, version: str, vocabulary: str, text:
     return counted(sized.withColumn(fresh_name(sized, text), F.lit("")), {version: lambda _: F.col(name)}, text=fresh_name(sized, text), **names)
 
 
-def _batches(spark: SparkSession, state: str) -> list[str]:
-    fs, where = _locate(spark, f"{state}/batches")
-    if not fs.exists(where):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(where))
+def recounted(docs: DataFrame, ids: DataFrame, count: Callable[[DataFrame], DataFrame], doc_id: str = "doc_id") -> DataFrame:
+    """``count`` of the documents that ``ids`` names, a null id never.
+
+    A filter of the ids keeps others from being counted; counts, not texts, are joined with the ids then.
+    """
+    ids = ids.select(F.col(quoted(doc_id)).cast("bigint").alias("r_id")).filter("r_id IS NOT NULL").distinct()
+    held, own = key_filter(ids, "r_id"), fresh_name(docs, "own_id")
+    if held is not None:
+        keyed = docs.withColumn(own, F.col(quoted(doc_id)).cast("bigint"))
+        docs = held.may_hold(keyed, own).filter(MAY).drop(MAY, own)
+    return count(docs).join(ids, F.col("doc_id") == F.col("r_id"), "left_semi")
+
+
+def _bucket(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(BUCKETS)).cast("int")
+
+
+def _batches(spark: SparkSession, state: str) -> dict[str, str]:
+    """The ids of the batches applied, each with the folder of its rows."""
+    found = {}
+    for name in child_names(spark, f"{state}/batches"):
+        for n in child_names(spark, f"{state}/batches/{name}"):
+            ended = [t for t in child_names(spark, f"{state}/batches/{name}/{n}") if t.endswith(claims.COMMIT)]
+            if ended:
+                found[name.removeprefix("batch=")] = f"{state}/data/{ended[0].removesuffix(claims.COMMIT)}"
+    return found
 
 
 def committed(spark: SparkSession, state: str) -> list[str]:
     """The ids of the batches applied."""
-    return [name.removeprefix("batch=") for name in _batches(spark, state)]
+    return sorted(_batches(spark, state))
 
 
 def entries(spark: SparkSession, state: str) -> DataFrame:
-    """All signed rows of all batches."""
-    found = [f"{state}/batches/{b}/entries" for b in _batches(spark, state)]
-    return spark.read.schema(ENTRY).parquet(*found) if found else spark.createDataFrame([], ENTRY)
+    """All signed rows of all batches, with their bucket."""
+    schema = f"{ENTRY}, {BUCKET} int"
+    found = [spark.read.schema(schema).parquet(f"{at}/entries") for at in _batches(spark, state).values()]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
-def commit(changes: DataFrame, state: str, batch_id: str) -> bool:
-    """Apply signed rows once; False if the batch was applied before."""
-    if not batch_id or "/" in batch_id:
-        raise ValueError("a batch id is a plain name")
+def _write(changes: DataFrame, folder: str) -> None:
+    """Entries by bucket and their totals."""
     spark = changes.sparkSession
-    final = f"{state}/batches/batch={batch_id}"
-    if path_exists(spark, final):
-        return False
-    aside = f"{state}/aside/{uuid.uuid4().hex}"
-    changes.write.parquet(f"{aside}/entries")
-    rows = spark.read.schema(ENTRY).parquet(f"{aside}/entries")
+    # Repeated rows of one document, or rows without an id, are dealt over the tasks of their bucket.
+    dealt = F.pmod(F.xxhash64(*changes.columns), F.lit(TASKS_PER_BUCKET))
+    rows = changes.withColumn(BUCKET, _bucket(F.col("doc_id"))).repartition(F.col(BUCKET), dealt)
+    rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{folder}/entries")
+    rows = spark.read.schema(f"{ENTRY}, {BUCKET} int").parquet(f"{folder}/entries")
     sums = rows.groupBy(*KEYS).agg(
         F.sum(F.col("sign").cast("bigint")).alias("n_docs"), F.sum(F.col("sign") * F.col("tokens")).alias("n_tokens")
     )
-    sums.coalesce(1).write.parquet(f"{aside}/totals")
-    fs, source = _locate(spark, aside)
-    target = _locate(spark, final)[1]
-    fs.mkdirs(target.getParent())
-    # Of two writers of one batch id the later finds the folder there, and its work is dropped.
-    if path_exists(spark, final) or not fs.rename(source, target):
-        fs.delete(source, True)
-        return False
-    return True
+    sums.write.mode("overwrite").parquet(f"{folder}/totals")
+
+
+def commit(changes: DataFrame, state: str, batch_id: str, lease: float = claims.LEASE_SECONDS) -> bool:
+    """Apply signed rows once; False if the batch was applied before, or by another writer meanwhile."""
+    if not batch_id or "/" in batch_id:
+        raise ValueError("a batch id is a plain name")
+    spark, attempt = changes.sparkSession, 0
+    while True:
+        place = f"{state}/batches/batch={batch_id}/{attempt}"
+        mine = claims.claim(spark, place)
+        if mine is None:
+            if claims.settle(spark, place, lease):
+                return False
+            attempt += 1
+            continue
+        folder = f"{state}/data/{mine.token}"
+        try:
+            with mine.renewed(lease):
+                _write(changes, folder)
+        except BaseException:
+            mine.void()
+            drop_folder(spark, folder)
+            raise
+        if mine.commit():
+            return True
+        drop_folder(spark, folder)  # taken for dead; another writer has the id, or this one tries anew
 
 
 def current(spark: SparkSession, state: str, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """What stands for the documents named: rows as inserted and not taken back, with their number."""
     wanted = ids.select(F.col(quoted(doc_id)).cast("bigint").alias("w_id")).distinct()
-    rows = entries(spark, state)
+    # At most BUCKETS numbers; the scan reads their folders only.
+    buckets = [r[0] for r in wanted.select(_bucket(F.col("w_id"))).distinct().collect()]
+    rows = entries(spark, state).filter(F.col(BUCKET).isin(buckets)).drop(BUCKET)
     mine = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi")
     net = mine.groupBy("doc_id", *KEYS, "tokens").agg(F.sum("sign").cast("int").alias("times"))
     return net.filter(F.col("times") > 0)
@@ -150,7 +198,7 @@ def revise(new: DataFrame, state: str, batch_id: str) -> bool:
 
 def totals(spark: SparkSession, state: str) -> DataFrame:
     """source, lang, tokenizer, n_docs, n_tokens: the sums of all batches."""
-    found = [f"{state}/batches/{b}/totals" for b in _batches(spark, state)]
+    found = [f"{at}/totals" for at in _batches(spark, state).values()]
     rows = spark.read.schema(TOTAL).parquet(*found) if found else spark.createDataFrame([], TOTAL)
     sums = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
     return sums.filter((F.col("n_docs") != 0) | (F.col("n_tokens") != 0))

@@ -4,7 +4,8 @@ A store is a folder with the dictionary, shards and a manifest. A shard holds, i
 word, a JSON header (hash of the dictionary, id type, ids in the shard), one zstandard frame per
 document, the index (one fixed-size entry per document) and a footer that says where the index
 begins. Documents are in ascending doc_id order within and across shards, so any document is
-read with one seek. The dictionary is trained on serialised ids of a bounded sample.
+read with one seek. The dictionary is trained on serialised ids of a bounded sample, in proportion to it;
+the manifest has its hash and size with every shard. Only a table without any ids but end ids has none.
 
 Defined results: a null text is the empty one, so it has the end id only; null ids come first;
 rows that share a doc_id are all kept, next to each other. An empty table gives no shards.
@@ -51,6 +52,9 @@ SAMPLE_DOCUMENTS = 2_000
 SAMPLE_SLICES = 4_096
 SLICE_IDS = 1_024
 DICTIONARY_BYTES = 64 << 10
+TRAINING_SLICES = 64
+MIN_SLICE_BYTES = 64
+MIN_DICTIONARY_BYTES = 512
 
 # Ids in a shard; a longer document makes a longer shard.
 SHARD_IDS = 8 << 20
@@ -61,7 +65,7 @@ ENTRY = np.dtype(
     [("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("bytes", "<u4"), ("start", "<u8"), ("ids", "<u8")]
 )
 
-MANIFEST = "part int, shard int, path string, documents bigint, ids bigint"
+MANIFEST = "part int, shard int, path string, documents bigint, ids bigint, dictionary string, dictionary_bytes bigint"
 
 
 def dictionary_hash(data: bytes) -> str:
@@ -69,13 +73,23 @@ def dictionary_hash(data: bytes) -> str:
 
 
 def train(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary, empty when there is too little to learn from."""
-    if sum(map(len, samples)) < 8 * size or len(samples) < 64:
-        return b""
-    try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    """A dictionary in proportion to the samples, an eighth of them and at most ``size``.
+
+    Few samples are cut smaller, as training needs a number of them. Where training finds nothing that
+    repeats, the end of the samples themselves is the dictionary. Without any ids there is none.
+    """
+    whole = b"".join(samples)
+    if len(samples) < TRAINING_SLICES:
+        step = max(MIN_SLICE_BYTES, len(whole) // (2 * TRAINING_SLICES) & ~3)
+        samples = [whole[i : i + step] for i in range(0, len(whole), step)]
+    want = min(size, len(whole) // 8)
+    while want >= MIN_DICTIONARY_BYTES:
+        try:
+            return zstandard.train_dictionary(want, samples).as_bytes()
+        except zstandard.ZstdError:
+            want //= 2
+    tail = whole[-size:]
+    return tail if len(tail) >= 8 else b""
 
 
 def _dictionary(data: bytes):
@@ -188,12 +202,14 @@ def write_store(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
         out.write(dictionary)
     shared = spark.sparkContext.broadcast(dictionary)
     schema = pa.schema(
-        [("part", pa.int32()), ("shard", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())]
+        [("part", pa.int32()), ("shard", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("ids", pa.int64()),
+         ("dictionary", pa.string()), ("dictionary_bytes", pa.int64())]
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part, attempt = encoder(vocabulary), TaskContext.get().partitionId(), uuid.uuid4().hex
         kind, end, data = id_type_of(tokens.size), np.array([END_ID], "<u4").tobytes(), shared.value
+        of = (dictionary_hash(data), len(data))
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data))
         writer, done = None, []
         for batch in batches:
@@ -205,10 +221,10 @@ def write_store(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
                         writer = ShardWriter(name, data, compressor, kind)
                     writer.add(key, np.frombuffer(tokens.encode(t) + end, "<u4"))
                     if writer.ids >= shard_ids:
-                        done.append((part, len(done), *writer.close()))
+                        done.append((part, len(done), *writer.close(), *of))
                         writer = None
         if writer is not None:
-            done.append((part, len(done), *writer.close()))
+            done.append((part, len(done), *writer.close(), *of))
         if done:
             yield records(done, schema)
 

@@ -261,6 +261,111 @@ def test_rollup_by_vocabulary(spark, documents, encoder):
     assert {r.doc_id: r.tokens for r in rows} == {1: len(encoder.encode("some words here")) // 4, 2: 0}
 
 
+def test_two_writers_of_one_batch(spark):
+    """Both start at once; one is applied, the other learns that."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    docs = spark.createDataFrame([(i, "a b c", "en", "s") for i in range(50)], "doc_id bigint, text string, lang string, source string")
+    state = common.shared_folder(spark, "rollup")
+    with ThreadPoolExecutor(3) as pool:
+        applied = list(pool.map(lambda _: rollup.insert(docs, state, "a", versions={"w": rollup.VERSIONS["words-1"]}), range(3)))
+    assert sorted(applied) == [False, False, True]
+    assert [(r.n_docs, r.n_tokens) for r in rollup.totals(spark, state).collect()] == [(50, 150)]
+
+
+def test_rollup_takes_over_from_a_dead_writer(spark):
+    from riskmart.sources import claims
+
+    docs = spark.createDataFrame([(1, "a b c", "en", "s")], "doc_id bigint, text string, lang string, source string")
+    state = common.shared_folder(spark, "rollup")
+    dead = claims.claim(spark, f"{state}/batches/batch=a/0")
+    assert rollup.totals(spark, state).count() == 0
+    assert rollup.commit(rollup.counted(docs), state, "a", lease=0.5)
+    assert not dead.commit() and not rollup.commit(rollup.counted(docs), state, "a")
+    assert {(r.tokenizer, r.n_tokens) for r in rollup.totals(spark, state).collect()} == {("words-1", 3), ("runs-1", 3)}
+
+
+def test_rollup_looks_only_into_the_buckets_named(spark):
+    docs = spark.createDataFrame([(i, "a b", "en", "s") for i in [*range(200), None, None]], "doc_id bigint, text string, lang string, source string")
+    state = common.shared_folder(spark, "rollup")
+    rollup.insert(docs, state, "a", versions={"w": rollup.VERSIONS["words-1"]})
+    one = spark.createDataFrame([(7,)], "doc_id bigint")
+    inputs = rollup.current(spark, state, one).inputFiles()
+    assert 1 <= len({f.split("bucket=")[1].split("/")[0] for f in inputs}) <= rollup.BUCKETS
+    assert "bucket" in rollup.current(spark, state, one)._jdf.queryExecution().toString().split("PartitionFilters")[1][:80]
+    assert [r.doc_id for r in rollup.current(spark, state, one).collect()] == [7]
+    none = spark.createDataFrame([(None,)], "doc_id bigint")
+    assert [(r.doc_id, r.times) for r in rollup.current(spark, state, none).collect()] == [(None, 2)]
+
+
+def test_only_documents_named_are_counted_again(spark):
+    docs = spark.createDataFrame([(i, "a b " + "c" * i, "en", "s") for i in [*range(300)]] + [(None, "x", "en", "s"), (5, "x", "en", "s")],
+                                 "doc_id bigint, text string, lang string, source string")
+    ids = spark.createDataFrame([(5,), (5,), (9,), (None,), (1000,)], "doc_id bigint")
+    seen = []
+
+    def count(some):
+        seen.append(some.count())
+        return rollup.counted(some, {"w": rollup.VERSIONS["words-1"]})
+
+    again = rollup.recounted(docs, ids, count)
+    assert sorted((r.doc_id, r.tokens) for r in again.collect()) == [(5, 1), (5, 3), (9, 3)]
+    assert seen[0] < 30
+
+
+def test_token_rollup_over_all_documents(spark, sf_dir, encoder):
+    """The query against plain Python: counts by the library, revisions, deletes."""
+    import re
+
+    from riskmart.llm import queries
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").collect()
+    poor = {r.doc_id for r in labels if r.quality == 0}
+    toxic = {r.doc_id for r in labels if r.toxic == 1}
+    want = defaultdict(lambda: [0, 0])
+    for d in docs:
+        if d.doc_id not in toxic:
+            text = re.sub("[0-9]+", " ", d.text or "") if d.doc_id in poor else d.text or ""
+            cell = want[d.source, d.lang, "byte_bpe_50k"]
+            cell[0] += 1
+            cell[1] += len(encoder.whole.encode(text, add_special_tokens=False).ids)
+    got = {(r.source, r.lang, r.tokenizer): [r.n_docs, r.n_tokens] for r in queries.op9_token_rollup_bpe(spark, sf_dir).collect()}
+    assert got == dict(want)
+
+
+def test_a_dictionary_at_every_size(spark, documents):
+    import zstandard
+
+    rng = random.Random(3)
+    ids = lambda n: np.array([rng.choice([5, 60, 700, 8000, 9]) for _ in range(n)], "<u2").tobytes()
+    for n in (8, 60, 400, 5_000, 60_000, 400_000):
+        samples = [ids(min(n, 1024)) for _ in range(max(1, n // 1024))]
+        data = token_store.train(samples)
+        assert 8 <= len(data) <= token_store.DICTIONARY_BYTES
+        both = zstandard.ZstdCompressionDict(data)
+        packed = zstandard.ZstdCompressor(dict_data=both).compress(samples[0])
+        assert zstandard.ZstdDecompressor(dict_data=both).decompress(packed) == samples[0]
+    assert token_store.train([]) == b""
+    folder = common.shared_folder(spark, "store")
+    token_store.write_store(documents([(1, "a few words only, and a few more"), (2, "a few words")]), folder)
+    shard = token_store.manifest(spark, folder).first()
+    assert shard.dictionary_bytes > 0 and list(token_store._dictionaries(folder)) == [shard.dictionary]
+    assert [r.n_tokens > 1 for r in token_store.read_store(spark, folder).collect()] == [True, True]
+
+
+def test_token_store_over_all_documents(spark, sf_dir, encoder):
+    from riskmart.llm import queries
+
+    at, want = 0, []
+    for d in sorted(spark.read.parquet(f"{sf_dir}/documents.parquet").collect(), key=lambda d: d.doc_id):
+        ids = np.array([*encoder.whole.encode(d.text or "", add_special_tokens=False).ids, 0], "<u4")
+        want.append((d.doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    got = queries.op6_token_store(spark, sf_dir).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(tuple(r) for r in got) == want
+
+
 def test_the_plan_is_found_beside_other_libraries_threads(spark, encoder):
     """In one process with Spark, DuckDB and the tokenizer, within a time limit."""
     import threading
