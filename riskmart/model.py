@@ -56,8 +56,6 @@ KEYS = {
 LEI_PREFIX = "9999"
 EXPOSURE_PREFIX = "EXP9999"
 COLLATERAL_PREFIX = "COL9999"
-SECTORS = ("BANKS", "INSURANCE", "ASSET_MANAGEMENT", "CORPORATE_NON_FIN", "SOVEREIGN")
-COUNTRIES = ("FR", "DE", "NL", "GB", "IT", "ES", "BE", "LU")
 EXPOSURE_TYPES = ("LOAN", "DEBT_SECURITY", "DERIVATIVE", "OFF_BALANCE_SHEET")
 RISK_WEIGHTS = (0.0, 0.2, 0.5, 0.75, 1.0, 1.5)
 STAGES = ("STAGE_1", "STAGE_2", "STAGE_3")
@@ -104,6 +102,7 @@ BUSINESS_RULES: dict[str, tuple[R.Rule, ...]] = {
     ),
 }
 
+# Fixed: the columns of the scorecard.
 SCORECARD_SCHEMA = T.StructType(
     [
         T.StructField("snapshot_ts", T.TimestampType(), False),
