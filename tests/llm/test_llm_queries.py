@@ -87,3 +87,20 @@ def test_rollup_by_the_vocabulary_against_brute_force(spark, sf_dir, duck):
 def test_the_last_stage_carries_the_ids(spark, sf_dir, documents, prose):
     rows = corpus_pipeline.STAGES[-1][1](spark, documents([(1, prose), (2, None), (3, prose * 40)]), sf_dir).collect()
     assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in rows)
+
+
+def test_operator_five_by_its_number_is_the_whole_one(spark, documents, tmp_path):
+    """A rare address yields terms, and they are marked far from it and where it is not named at all."""
+    import __spark_entry__ as contract
+
+    plain = [(i, f"the ship about number {i} to write") for i in range(100, 400)]
+    rows = [(1, f"zorro {'the ship ' * 30} a@b.org"), (2, "the ship zorro to write")]
+    documents(plain + rows).write.parquet(f"{tmp_path}/documents.parquet")
+    name = next(n for n in contract.queries() if n.startswith("op5_"))
+    found = {r.doc_id: r for r in contract.queries()[name](spark, str(tmp_path)).collect()}
+    assert len(found) == 302 and found[1].n_email == 1
+    for i, text in rows:
+        at = text.index("zorro")
+        assert f":{at}:{at + 5}" in found[i].spans, i
+    assert not any(found[i].spans for i, _ in plain)
+    assert "op5_pii" in contract.oracle_sql() and "op5_pii" in contract.queries()
